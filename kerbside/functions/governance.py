@@ -23,9 +23,10 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def mask_price(c: Column | str, role: str) -> Column:
+def mask_price(c: Column | str, role: str, dtype: str = "double") -> Column:
+    """The value for admin roles, else -999.99 in the column's numeric type."""
     c = _col(c)
-    return c if role in ADMIN_ROLES else F.lit(MASKED_PRICE).cast("double")
+    return c if role in ADMIN_ROLES else F.lit(MASKED_PRICE).cast(dtype)
 
 
 def mask_text(c: Column | str, role: str) -> Column:

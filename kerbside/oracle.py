@@ -112,3 +112,192 @@ FROM d
 WHERE avg_price_compliant IS NOT NULL AND avg_price_non_compliant IS NOT NULL
 ORDER BY devaluation_percent DESC NULLS LAST, brand ASC NULLS LAST, model ASC NULLS LAST
 LIMIT 10"""
+
+# --- warehouse version -------------------------------------------------------
+
+LENIENT = """CASE WHEN fuelType = 'Petrol' AND year >= 2006 THEN TRUE
+              WHEN fuelType = 'Diesel' AND year >= 2015 THEN TRUE
+              WHEN fuelType IN ('Hybrid', 'Electric', 'Other') THEN TRUE
+              ELSE FALSE END"""
+P3 = "CAST(round(TRY_CAST(replace(replace(price, '£', ''), ',', '') AS DECIMAL(18,4))) AS INT)"
+
+FACT = AUTOTRADER_RAW + f""",
+fact AS (
+  SELECT brand, title AS model, year, CAST({P3} AS DOUBLE) AS price, transmission, mileage,
+         fuelType AS fuel_type, CAST(NULL AS INT) AS tax, CAST(NULL AS DOUBLE) AS mpg,
+         engineSize AS engine_size, {LENIENT} AS is_ulez_compliant,
+         2025 - year AS vehicle_age,
+         CAST({P3} AS DOUBLE) / NULLIF(mileage, 0) AS price_per_mile
+  FROM autotrader_raw WHERE action = 'INSERT'
+)"""
+
+ORACLE["warehouse_fact"] = "WITH " + FACT + "\nSELECT * FROM fact"
+
+ORACLE["merc_feed"] = "WITH " + MERC_RAW + f"""
+SELECT 'MERCEDES' AS brand, model, year, CAST(price AS DOUBLE) AS price, transmission, mileage,
+       fuelType AS fuel_type, tax, mpg, engineSize AS engine_size, {LENIENT} AS is_ulez_compliant,
+       2025 - year AS vehicle_age, CAST(price AS DOUBLE) / NULLIF(mileage, 0) AS price_per_mile
+FROM merc_raw WHERE action = 'INSERT'"""
+
+MEAN = "CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
+
+ORACLE["diesel_devaluation_ranked"] = "WITH " + FACT + f""",
+stats AS (
+  SELECT brand, model,
+         {MEAN.format(x="CASE WHEN is_ulez_compliant THEN price END")} AS c,
+         {MEAN.format(x="CASE WHEN NOT is_ulez_compliant THEN price END")} AS nc
+  FROM fact WHERE fuel_type = 'Diesel'
+  GROUP BY brand, model
+  HAVING COUNT(CASE WHEN is_ulez_compliant THEN 1 END) >= 1
+     AND COUNT(CASE WHEN NOT is_ulez_compliant THEN 1 END) >= 1
+)
+SELECT brand, model, round(c, 0) AS avg_price_compliant, round(nc, 0) AS avg_price_non_compliant,
+       round(c - nc, 0) AS devaluation_amount,
+       round((nc - c) / NULLIF(c, 0) * 100, 1) AS devaluation_percent
+FROM stats
+ORDER BY devaluation_percent ASC NULLS LAST, brand ASC NULLS LAST, model ASC NULLS LAST
+LIMIT 10"""
+
+IMPACT_SUMMARY = f"""
+  SELECT brand, year, fuel_type, is_ulez_compliant,
+         COUNT(*) AS total_listings,
+         round({MEAN.format(x="price")}, 2) AS avg_price,
+         round({MEAN.format(x="mileage")}, 2) AS avg_mileage,
+         round({MEAN.format(x="vehicle_age")}, 1) AS avg_age
+  FROM fact GROUP BY brand, year, fuel_type, is_ulez_compliant"""
+
+ORACLE["impact_summary"] = "WITH " + FACT + f""",
+s AS ({IMPACT_SUMMARY})
+SELECT *, avg_price / NULLIF(avg_age, 0) AS price_efficiency FROM s"""
+
+STAGE_RAW = """
+stage_raw AS (
+  SELECT CAST(l_orderkey AS VARCHAR(20)) AS id, p_brand AS brand,
+         CASE WHEN p_size % 7 = 0 THEN p_type ELSE p_name END AS title,
+         concat(CAST(CAST(floor(l_extendedprice / 1000) AS INT) AS VARCHAR(10)), ',',
+                lpad(CAST(CAST(floor(l_extendedprice) AS INT) % 1000 AS VARCHAR(10)), 3, '0')) AS price,
+         CAST(2000 + (year(l_shipdate) - 1995) * 3 AS INT) AS year,
+         CAST((floor(l_quantity) - 1) * 1000 AS INT) AS mileage,
+         CASE WHEN l_returnflag = 'A' THEN 'Petrol' WHEN l_returnflag = 'N' THEN 'Diesel'
+              WHEN l_linestatus = 'O' THEN 'Hybrid' ELSE 'Other' END AS fuelType,
+         CAST(1.0 + l_linenumber * 0.5 AS DOUBLE) AS engineSize,
+         CASE WHEN l_linestatus = 'O' THEN 'Automatic' ELSE 'Manual' END AS transmission,
+         l_shipdate AS search_timestamp
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+stg AS (
+  SELECT CASE WHEN title IS NULL THEN NULL
+              WHEN instr(title, ' ') > 0 THEN upper(split_part(title, ' ', 1)) ELSE '' END AS brand,
+         title AS model, year,
+         CAST(replace(price, ',', '') AS DOUBLE) AS price,
+         transmission, mileage, fuelType AS fuel_type, 0 AS tax, 0 AS mpg, engineSize AS engine_size
+  FROM stage_raw
+),
+fct AS (
+  SELECT *,
+         CASE WHEN fuel_type = 'Petrol' AND year >= 2006 THEN TRUE
+              WHEN fuel_type = 'Diesel' AND year >= 2015 THEN TRUE
+              WHEN fuel_type IN ('Hybrid', 'Other', 'Electric') THEN TRUE
+              ELSE FALSE END AS is_ulez_compliant,
+         2025 - year AS vehicle_age,
+         CASE WHEN mileage > 0 THEN price / mileage ELSE 0 END AS price_per_mile
+  FROM stg
+)"""
+
+ORACLE["stage_listings"] = "WITH " + STAGE_RAW + "\nSELECT * FROM stg"
+ORACLE["warehouse_fact_dbt"] = "WITH " + STAGE_RAW + "\nSELECT * FROM fct"
+ORACLE["run_warehouse_models"] = "WITH " + STAGE_RAW + f""",
+fact AS (SELECT * FROM fct),
+s AS ({IMPACT_SUMMARY})
+SELECT *, avg_price / NULLIF(avg_age, 0) AS price_efficiency FROM s"""
+
+ORACLE["backfill_missing"] = "WITH " + LISTINGS_RAW + "," + AUTOTRADER_RAW + f"""
+SELECT brand, title AS model, year, CAST({P3} AS DOUBLE) AS price, transmission, mileage,
+       fuelType AS fuel_type, CAST(NULL AS INT) AS tax, CAST(NULL AS DOUBLE) AS mpg,
+       engineSize AS engine_size, {LENIENT} AS is_ulez_compliant,
+       2025 - year AS vehicle_age,
+       CAST({P3} AS DOUBLE) / NULLIF(mileage, 0) AS price_per_mile
+FROM autotrader_raw a
+WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT model FROM listings_raw WHERE model IS NOT NULL) f
+                  WHERE f.model = a.title)"""
+
+ORACLE["external_listing_view"] = "WITH " + SILVER + """
+SELECT id AS advert_id, brand, fuel_type, year, is_ulez_compliant FROM silver"""
+
+# --- serving tables ----------------------------------------------------------
+
+ORACLE["price_gap_long"] = "WITH " + MARKET_IMPACT + """
+SELECT brand, 'Compliant Price' AS category, avg_price_compliant AS average_price FROM impact
+UNION ALL
+SELECT brand, 'Non-Compliant Price' AS category, avg_price_non_compliant AS average_price FROM impact"""
+
+ORACLE["top_listings"] = "WITH " + SILVER + """
+SELECT brand, model, year, price, fuel_type, is_ulez_compliant FROM (
+  SELECT * FROM silver ORDER BY price DESC NULLS LAST, id ASC NULLS LAST LIMIT 20)"""
+
+ORACLE["impact_ranking"] = "WITH " + MARKET_IMPACT + """
+SELECT brand, percent_diff FROM impact ORDER BY percent_diff ASC NULLS LAST, brand"""
+
+ORACLE["headline_metrics"] = "WITH " + MARKET_IMPACT + """
+SELECT (SELECT COUNT(*) FROM silver) AS listings_processed,
+       (SELECT CAST(SUM(CAST(percent_diff AS DECIMAL(20,1))) AS DOUBLE)
+               / NULLIF(COUNT(percent_diff), 0) FROM impact) AS avg_impact"""
+
+ORACLE["layer_counts"] = "WITH " + SILVER + """
+SELECT COUNT(*) AS total_rows,
+       COUNT(CASE WHEN price IS NOT NULL AND mileage IS NOT NULL AND year IS NOT NULL THEN 1 END) AS ml_valid_rows
+FROM silver"""
+
+ORACLE["diesel_display"] = ("SELECT brand AS \"Brand\", model AS \"Model\", avg_price_compliant AS \"Compliant Avg Price\", "
+                            "avg_price_non_compliant AS \"Non-Compliant Avg Price\", devaluation_percent AS \"Devaluation (%)\" "
+                            "FROM (" + ORACLE["diesel_devaluation"] + ")")
+
+# --- data quality -------------------------------------------------------------
+
+Q1_RAW = """SELECT CAST(COALESCE(SUM(n), 0) AS INT) AS error_count FROM (
+  SELECT id, COUNT(*) AS n FROM listings_raw WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1)"""
+ORACLE["check_unique_ids"] = "WITH " + LISTINGS_RAW + "\n" + Q1_RAW
+ORACLE["check_positive_price"] = "WITH " + SILVER + """
+SELECT CAST(COUNT(CASE WHEN price <= 0 THEN 1 END) AS INT) AS error_count FROM silver"""
+Q3 = """SELECT CAST(COUNT(CASE WHEN fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant = TRUE THEN 1 END) AS INT)
+         AS error_count FROM silver"""
+ORACLE["check_compliance_logic"] = "WITH " + SILVER + "\n" + Q3
+ORACLE["check_metrics_complete"] = "WITH " + MARKET_IMPACT + """
+SELECT CAST(COUNT(CASE WHEN percent_diff IS NULL THEN 1 END) AS INT) AS error_count FROM impact"""
+
+ORACLE["run_quality_checks"] = "WITH " + MARKET_IMPACT + """,
+checks AS (
+  SELECT 'SILVER' AS layer, 'Unique IDs' AS check_name,
+         CAST(COALESCE((SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM silver WHERE id IS NOT NULL
+                                             GROUP BY id HAVING COUNT(*) > 1)), 0) AS INT) AS error_count
+  UNION ALL
+  SELECT 'SILVER', 'Price Accuracy', CAST((SELECT COUNT(*) FROM silver WHERE price <= 0) AS INT)
+  UNION ALL
+  SELECT 'SILVER', 'ULEZ Logic Integrity',
+         CAST((SELECT COUNT(*) FROM silver WHERE fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant) AS INT)
+  UNION ALL
+  SELECT 'GOLD', 'Metrics Completeness', CAST((SELECT COUNT(*) FROM impact WHERE percent_diff IS NULL) AS INT)
+)
+SELECT layer, check_name, CASE WHEN error_count > 0 THEN 'FAIL' ELSE 'PASS' END AS status, error_count FROM checks"""
+
+# --- governance ----------------------------------------------------------------
+
+ORACLE["governed_impact_admin"] = "WITH " + MARKET_IMPACT + "\nSELECT * FROM impact"
+ORACLE["governed_impact_developer"] = "WITH " + MARKET_IMPACT + """
+SELECT brand, CAST(-999.99 AS DOUBLE) AS avg_price_compliant, CAST(-999.99 AS DOUBLE) AS avg_price_non_compliant,
+       percent_diff
+FROM impact WHERE brand IN ('Brand#1', 'Brand#2')"""
+ORACLE["governed_impact_auditor"] = "WITH " + MARKET_IMPACT + """
+SELECT brand, CAST(-999.99 AS DOUBLE) AS avg_price_compliant, CAST(-999.99 AS DOUBLE) AS avg_price_non_compliant,
+       percent_diff
+FROM impact WHERE FALSE"""
+_SILVER_COLS = "id, brand, {model} AS model, year, {price} AS price, mileage, fuel_type, engine_size, transmission, is_ulez_compliant"
+ORACLE["masked_listings_admin"] = "WITH " + SILVER + "\nSELECT " + _SILVER_COLS.format(model="model", price="price") + " FROM silver"
+ORACLE["masked_listings_developer"] = "WITH " + SILVER + "\nSELECT " + _SILVER_COLS.format(
+    model="model", price="CAST(-999.99 AS DECIMAL(10,2))") + " FROM silver"
+ORACLE["masked_listings_auditor"] = "WITH " + SILVER + "\nSELECT " + _SILVER_COLS.format(
+    model="'*********'", price="CAST(-999.99 AS DECIMAL(10,2))") + " FROM silver"
+ORACLE["governed_diesel_developer"] = """
+SELECT brand, CAST(-999.99 AS DOUBLE) AS avg_price_compliant, CAST(-999.99 AS DOUBLE) AS avg_price_non_compliant,
+       model, devaluation_percent
+FROM (""" + ORACLE["diesel_devaluation"] + """) WHERE brand IN ('Brand#1', 'Brand#2')"""

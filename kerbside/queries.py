@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kerbside.operators import gold
+from kerbside.operators import gold, governance, quality, serving
+from kerbside.operators import warehouse as wh
+from kerbside.plans import warehouse_models
 from kerbside.operators.silver import build_silver
 from kerbside.sources import fixtures as fx
 
@@ -42,3 +45,149 @@ def q_market_impact(spark, sf_dir):
 @register("diesel_devaluation")
 def q_diesel_devaluation(spark, sf_dir):
     return gold.diesel_devaluation(silver(spark, sf_dir))
+
+
+# --- warehouse version -------------------------------------------------------
+
+def warehouse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one warehouse fact: INSERT rows of the API feed (G2's body)."""
+    return wh.listing_feed_rows(fx.autotrader_raw(spark, sf_dir))
+
+
+@register("warehouse_fact")
+def q_warehouse_fact(spark, sf_dir):
+    return warehouse_fact(spark, sf_dir)
+
+
+@register("merc_feed")
+def q_merc_feed(spark, sf_dir):
+    return wh.merc_feed_rows(fx.merc_raw(spark, sf_dir))
+
+
+@register("diesel_devaluation_ranked")
+def q_diesel_devaluation_ranked(spark, sf_dir):
+    return gold.diesel_devaluation_ranked(warehouse_fact(spark, sf_dir))
+
+
+@register("impact_summary")
+def q_impact_summary(spark, sf_dir):
+    return gold.impact_summary(warehouse_fact(spark, sf_dir))
+
+
+@register("stage_listings")
+def q_stage_listings(spark, sf_dir):
+    return wh.stage_listings(fx.stage_raw(spark, sf_dir))
+
+
+@register("run_warehouse_models")
+def q_run_warehouse_models(spark, sf_dir):
+    return warehouse_models.run_warehouse_models(fx.stage_raw(spark, sf_dir))["mart_ulez_impact"]
+
+
+@register("warehouse_fact_dbt")
+def q_warehouse_fact_dbt(spark, sf_dir):
+    return warehouse_models.run_warehouse_models(fx.stage_raw(spark, sf_dir))["fct_cars"]
+
+
+@register("backfill_missing")
+def q_backfill_missing(spark, sf_dir):
+    fact_models = fx.listings_raw(spark, sf_dir).select("model").filter(F.col("model").isNotNull())
+    return wh.backfill_missing(fx.autotrader_raw(spark, sf_dir), fact_models)
+
+
+@register("external_listing_view")
+def q_external_listing_view(spark, sf_dir):
+    return wh.external_listing_view(silver(spark, sf_dir, stamp=True)).drop("processed_at")
+
+
+# --- serving tables ----------------------------------------------------------
+
+@register("price_gap_long")
+def q_price_gap_long(spark, sf_dir):
+    return gold.price_gap_long(gold.market_impact(silver(spark, sf_dir)))
+
+
+@register("top_listings")
+def q_top_listings(spark, sf_dir):
+    return serving.top_listings(silver(spark, sf_dir))
+
+
+@register("impact_ranking")
+def q_impact_ranking(spark, sf_dir):
+    return serving.impact_ranking(gold.market_impact(silver(spark, sf_dir)))
+
+
+@register("headline_metrics")
+def q_headline_metrics(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return serving.headline_metrics(s, gold.market_impact(s))
+
+
+@register("layer_counts")
+def q_layer_counts(spark, sf_dir):
+    return serving.layer_counts(silver(spark, sf_dir))
+
+
+@register("diesel_display")
+def q_diesel_display(spark, sf_dir):
+    return serving.diesel_display(gold.diesel_devaluation(silver(spark, sf_dir)))
+
+
+# --- data quality -------------------------------------------------------------
+
+@register("check_unique_ids")
+def q_check_unique_ids(spark, sf_dir):
+    # On Bronze-shaped rows (before dedup), where ids do repeat.
+    return quality.check_unique_ids(fx.listings_raw(spark, sf_dir))
+
+
+@register("check_positive_price")
+def q_check_positive_price(spark, sf_dir):
+    return quality.check_positive_price(silver(spark, sf_dir))
+
+
+@register("check_compliance_logic")
+def q_check_compliance_logic(spark, sf_dir):
+    return quality.check_compliance_logic(silver(spark, sf_dir))
+
+
+@register("check_metrics_complete")
+def q_check_metrics_complete(spark, sf_dir):
+    return quality.check_metrics_complete(gold.market_impact(silver(spark, sf_dir)))
+
+
+@register("run_quality_checks")
+def q_run_quality_checks(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return quality.quality_results(s, gold.market_impact(s), stamp=False)
+
+
+# --- governance ----------------------------------------------------------------
+
+# Stand-ins for the developer role's two brands on the derived data.
+FIXTURE_DEV_BRANDS = ("Brand#1", "Brand#2")
+ROLES = {"admin": "ULEZ_ADMIN", "developer": "ULEZ_DEVELOPER", "auditor": "ULEZ_AUDITOR"}
+
+
+def _governed_impact(role):
+    def q(spark, sf_dir):
+        impact = gold.market_impact(silver(spark, sf_dir))
+        return governance.governed_view(impact, role, text_cols=(), developer_brands=FIXTURE_DEV_BRANDS)
+    return q
+
+
+def _masked_listings(role):
+    def q(spark, sf_dir):
+        return governance.mask_columns(silver(spark, sf_dir), role, price_cols=("price",), text_cols=("model",))
+    return q
+
+
+for _short, _role in ROLES.items():
+    register(f"governed_impact_{_short}")(_governed_impact(_role))
+    register(f"masked_listings_{_short}")(_masked_listings(_role))
+
+
+@register("governed_diesel_developer")
+def q_governed_diesel_developer(spark, sf_dir):
+    diesel = gold.diesel_devaluation(silver(spark, sf_dir))
+    return governance.governed_view(diesel, ROLES["developer"], developer_brands=FIXTURE_DEV_BRANDS)

@@ -81,8 +81,8 @@ def autotrader_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_autotrader(j)
 
 
-def project_autotrader(j: DataFrame) -> DataFrame:
-    price_text = (F.when(F.col("l_linenumber") == 1, F.lit("POA"))
+def project_autotrader(j: DataFrame, price_text: Column | None = None) -> DataFrame:
+    price_text = price_text if price_text is not None else (F.when(F.col("l_linenumber") == 1, F.lit("POA"))
                   .when(F.col("l_linenumber") == 2,
                         F.concat(F.lit("£"), _int_text(F.col("l_extendedprice") / 1000), F.lit(",500")))
                   .otherwise(_int_text(F.col("l_extendedprice"))))
@@ -141,3 +141,14 @@ def listing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(",500 miles")).alias("mileage_badge"),
         F.when(F.col("l_suppkey") % 3 == 0, F.lit("n/a")).otherwise(F.lit(None).cast("string")).alias("later_bad_badge"),
     )
+
+
+def stage_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-shaped raw table whose text prices use thousands separators only
+    ('68,423'), the input the staging model's comma-strip-and-cast expects.
+    (Its '£' / 'POA' behaviour is covered by literal fixtures in the tests.)"""
+    j = _lineitem_part(spark, sf_dir, ["p_brand", "p_type", "p_name", "p_size"])
+    whole = F.floor("l_extendedprice").cast("int")
+    price_text = F.concat((F.floor(F.col("l_extendedprice") / 1000)).cast("int").cast("string"), F.lit(","),
+                          F.lpad((whole % 1000).cast("string"), 3, "0"))
+    return project_autotrader(j, price_text).drop("action")
