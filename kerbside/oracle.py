@@ -301,3 +301,46 @@ ORACLE["governed_diesel_developer"] = """
 SELECT brand, CAST(-999.99 AS DOUBLE) AS avg_price_compliant, CAST(-999.99 AS DOUBLE) AS avg_price_non_compliant,
        model, devaluation_percent
 FROM (""" + ORACLE["diesel_devaluation"] + """) WHERE brand IN ('Brand#1', 'Brand#2')"""
+
+# --- sources: documents, drifting Bronze, change streams ----------------------
+
+LISTING_TEXTS = """
+listing_texts AS (
+  SELECT CAST(l_orderkey AS VARCHAR(20)) AS advert_id, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+         p_name, p_brand, p_type, CAST(2000 + (year(l_shipdate) - 1995) * 3 AS INT) AS year,
+         concat(CAST(1 + l_linenumber % 4 AS VARCHAR(2)), '.', CAST(l_linenumber % 10 AS VARCHAR(2)), ' ', p_name,
+                CASE WHEN l_linestatus = 'O' THEN ' Auto' ELSE '' END) AS sub_title,
+         CASE WHEN l_returnflag = 'A' THEN 'Great Petrol Hybrid car' WHEN l_returnflag = 'N' THEN 'Great Diesel car'
+              WHEN l_linestatus = 'O' THEN NULL ELSE 'clean Electric' END AS grabber,
+         concat(CAST(CAST(l_quantity AS INT) AS VARCHAR(10)), ',500 miles') AS mileage_badge,
+         CASE WHEN l_suppkey % 3 = 0 THEN 'n/a' ELSE NULL END AS later_bad_badge
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+)"""
+
+FUEL_GUESS = " ".join(
+    f"WHEN contains(coalesce(grabber, ''), '{w}') OR contains(sub_title, '{w}') THEN '{w}'"
+    for w in ("Petrol", "Diesel", "Hybrid", "Electric"))
+
+ORACLE["extract_listings"] = "WITH " + LISTING_TEXTS + f"""
+SELECT advert_id AS id, p_name AS title, p_brand AS brand, p_type AS model,
+       CASE WHEN l_linenumber = 1 THEN 0.0
+            WHEN l_linenumber = 2 THEN CAST(CAST(floor(l_extendedprice / 1000) AS INT) * 1000 + 500 AS DOUBLE)
+            ELSE CAST(CAST(floor(l_extendedprice) AS INT) AS DOUBLE) END AS price,
+       year,
+       CAST(replace(split_part(mileage_badge, ' ', 1), ',', '') AS INT) AS mileage,
+       CASE {FUEL_GUESS} ELSE 'Unknown' END AS fuelType,
+       COALESCE(TRY_CAST(NULLIF(regexp_extract(sub_title, '(\\d\\.\\d)', 1), '') AS DOUBLE), 0.0) AS engineSize,
+       CASE WHEN contains(sub_title, 'Auto') OR contains(coalesce(grabber, ''), 'Auto') THEN 'Automatic'
+            ELSE 'Manual' END AS transmission
+FROM listing_texts
+WHERE l_suppkey % 7 <> 0"""
+ORACLE["read_listing_documents"] = ORACLE["extract_listings"]
+
+ORACLE["read_bronze_union"] = "WITH " + LISTINGS_RAW + """
+SELECT id, CASE WHEN tie_line % 2 = 1 THEN title END AS title, brand,
+       CASE WHEN tie_line % 2 = 0 THEN model END AS model, price, year, mileage, fuelType, engineSize,
+       transmission, CAST(NULL AS VARCHAR) AS fuel_type_raw, tie_line, tie_part, tie_supp
+FROM listings_raw"""
+
+ORACLE["stream_brand_feed"] = ORACLE["merc_feed"]
+ORACLE["stream_listing_feed"] = ORACLE["warehouse_fact"]

@@ -15,7 +15,11 @@ from kerbside.operators import gold, governance, quality, serving
 from kerbside.operators import warehouse as wh
 from kerbside.plans import warehouse_models
 from kerbside.operators.silver import build_silver
+from kerbside.functions.prices import parse_price
+from kerbside.session import scratch_path
+from kerbside.sources import bronze, documents
 from kerbside.sources import fixtures as fx
+from kerbside.streaming import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,3 +195,51 @@ for _short, _role in ROLES.items():
 def q_governed_diesel_developer(spark, sf_dir):
     diesel = gold.diesel_devaluation(silver(spark, sf_dir))
     return governance.governed_view(diesel, ROLES["developer"], developer_brands=FIXTURE_DEV_BRANDS)
+
+
+# --- sources: documents, drifting Bronze, change streams ----------------------
+
+def _extracted(listings: DataFrame) -> DataFrame:
+    return documents.extract_listings(listings).withColumn("price", parse_price("price", "zero"))
+
+
+@register("extract_listings")
+def q_extract_listings(spark, sf_dir):
+    docs = fx.listing_documents(spark, sf_dir)
+    return _extracted(documents.explode_listings(docs, "response"))
+
+
+@register("read_listing_documents")
+def q_read_listing_documents(spark, sf_dir):
+    # Save the responses as JSON lines in the shared folder, then read them back.
+    path = scratch_path(spark, "documents")
+    fx.listing_documents(spark, sf_dir).select(
+        F.to_json(F.array("response")).alias("value")).write.text(path)
+    return _extracted(documents.read_listing_documents(spark, path, per_line=True))
+
+
+@register("read_bronze_union")
+def q_read_bronze_union(spark, sf_dir):
+    # Two Bronze layouts: odd lines without `model` and `year` BIGINT, even
+    # lines without `title` and `year` DOUBLE.
+    raw = fx.listings_raw(spark, sf_dir)
+    odd = F.col("tie_line") % 2 == 1
+    a, b = scratch_path(spark, "bronze-a"), scratch_path(spark, "bronze-b")
+    raw.filter(odd).drop("model").withColumn("year", F.col("year").cast("bigint")).write.parquet(a)
+    raw.filter(~odd).drop("title").withColumn("year", F.col("year").cast("double")).write.parquet(b)
+    ties = ("tie_line", "tie_part", "tie_supp")
+    return bronze.read_bronze_union(spark, [a, b], keep_extra=ties).drop("ingestion_timestamp")
+
+
+@register("stream_brand_feed")
+def q_stream_brand_feed(spark, sf_dir):
+    sink, ckpt = scratch_path(spark, "merc-feed"), scratch_path(spark, "merc-feed-ckpt")
+    feeds.stream_brand_feed(spark, sf_dir, sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@register("stream_listing_feed")
+def q_stream_listing_feed(spark, sf_dir):
+    sink, ckpt = scratch_path(spark, "listing-feed"), scratch_path(spark, "listing-feed-ckpt")
+    feeds.stream_listing_feed(spark, sf_dir, sink, ckpt, part=fx.table(spark, sf_dir, "part"))
+    return spark.read.parquet(sink)

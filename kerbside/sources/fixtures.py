@@ -123,7 +123,7 @@ def project_merc(li: DataFrame) -> DataFrame:
 
 def listing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat inputs from which nested listing documents are assembled."""
-    j = _lineitem_part(spark, sf_dir, ["p_name"])
+    j = _lineitem_part(spark, sf_dir, ["p_name", "p_brand", "p_type"])
     sub_title = F.concat(
         (F.lit(1) + F.col("l_linenumber") % 4).cast("string"), F.lit("."),
         (F.col("l_linenumber") % 10).cast("string"), F.lit(" "), F.col("p_name"),
@@ -134,8 +134,8 @@ def listing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(F.lit("clean Electric")))
     return j.select(
         F.col("l_orderkey").cast("string").alias("advert_id"),
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
-        F.col("p_name"),
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+        "p_name", "p_brand", "p_type", _model_year().alias("year"),
         sub_title.alias("sub_title"),
         grabber.alias("grabber"),
         F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(",500 miles")).alias("mileage_badge"),
@@ -152,3 +152,29 @@ def stage_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     price_text = F.concat((F.floor(F.col("l_extendedprice") / 1000)).cast("int").cast("string"), F.lit(","),
                           F.lpad((whole % 1000).cast("string"), 3, "0"))
     return project_autotrader(j, price_text).drop("action")
+
+
+def listing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One saved API response per lineitem row (column ``response``), built
+    from ``listing_texts``: a mileage badge, a second unparseable one on some
+    rows, an unrelated badge, text context prices ('POA', '£n,500', plain);
+    rows with ``l_suppkey % 7 = 0`` carry no tracking context."""
+    t = listing_texts(spark, sf_dir)
+    badge = lambda typ, text: F.struct(F.lit(typ).alias("type"), text.cast("string").alias("displayText"))
+    first = [badge("MILEAGE", F.col("mileage_badge")), badge("PRIVATE_SELLER", F.lit("7 owners"))]
+    badges = F.when(F.col("later_bad_badge").isNotNull(),
+                    F.array(*first, badge("MILEAGE", F.col("later_bad_badge")))).otherwise(F.array(*first))
+    ctx_price = (F.when(F.col("l_linenumber") == 1, F.lit("POA"))
+                 .when(F.col("l_linenumber") == 2,
+                       F.concat(F.lit("£"), _int_text(F.col("l_extendedprice") / 1000), F.lit(",500")))
+                 .otherwise(_int_text(F.col("l_extendedprice"))))
+    context = F.struct(F.struct(F.col("p_brand").alias("make"), F.col("p_type").alias("model"),
+                                F.col("year").alias("year"), ctx_price.alias("price")).alias("advertContext"))
+    listing = F.struct(
+        F.col("advert_id").alias("advertId"), F.col("p_name").alias("title"),
+        F.col("sub_title").alias("subTitle"), F.col("grabber").alias("attentionGrabber"),
+        F.lit("£0").alias("price"), badges.alias("badges"),
+        F.when(F.col("l_suppkey") % 7 == 0, F.lit(None).cast("struct<advertContext:struct<make:string,model:string,year:int,price:string>>"))
+         .otherwise(context).alias("trackingContext"))
+    response = F.struct(F.struct(F.struct(F.array(listing).alias("listings")).alias("searchResults")).alias("data"))
+    return t.select(response.alias("response"))
