@@ -344,3 +344,30 @@ FROM listings_raw"""
 
 ORACLE["stream_brand_feed"] = ORACLE["merc_feed"]
 ORACLE["stream_listing_feed"] = ORACLE["warehouse_fact"]
+
+# --- machine learning inputs ----------------------------------------------------
+
+ORACLE["feature_table"] = "WITH " + SILVER + """
+SELECT id AS "ID", brand AS "BRAND", model AS "MODEL", year AS "YEAR", price AS "PRICE", mileage AS "MILEAGE",
+       fuel_type AS "FUEL_TYPE", engine_size AS "ENGINE_SIZE", transmission AS "TRANSMISSION",
+       is_ulez_compliant AS "IS_ULEZ_COMPLIANT"
+FROM silver WHERE price IS NOT NULL AND mileage IS NOT NULL AND year IS NOT NULL"""
+
+# --- pipelines ------------------------------------------------------------------
+
+ORACLE["run_medallion"] = ORACLE["market_impact"]
+ORACLE["incremental_silver"] = ORACLE["silver_listings"]
+ORACLE["ingest_documents"] = "WITH " + LISTING_TEXTS + """
+SELECT advert_id AS id, p_name AS title, 'BMW' AS brand, p_type AS model,
+       CASE WHEN l_linenumber = 1 THEN 0.0
+            WHEN l_linenumber = 2 THEN CAST(CAST(floor(l_extendedprice / 1000) AS INT) * 1000 + 500 AS DOUBLE)
+            ELSE CAST(CAST(floor(l_extendedprice) AS INT) AS DOUBLE) END AS price,
+       year,
+       CAST(replace(split_part(mileage_badge, ' ', 1), ',', '') AS INT) AS mileage,
+       'Diesel' AS fuelType,
+       COALESCE(TRY_CAST(NULLIF(regexp_extract(sub_title, '(\\d\\.\\d)', 1), '') AS DOUBLE), 0.0) AS engineSize,
+       CASE WHEN contains(sub_title, 'Auto') OR contains(coalesce(grabber, ''), 'Auto') THEN 'Automatic'
+            ELSE 'Manual' END AS transmission,
+       'Diesel' AS fuel_type_raw
+FROM listing_texts
+WHERE l_suppkey % 7 <> 0"""

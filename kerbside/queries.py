@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.operators import gold, governance, quality, serving
+from pyspark.ml.functions import vector_to_array
+
+from kerbside.operators import gold, governance, pricing, quality, segments, serving
 from kerbside.operators import warehouse as wh
-from kerbside.plans import warehouse_models
+from kerbside.plans import medallion, warehouse_models
 from kerbside.operators.silver import build_silver
 from kerbside.functions.prices import parse_price
 from kerbside.session import scratch_path
@@ -243,3 +245,94 @@ def q_stream_listing_feed(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "listing-feed"), scratch_path(spark, "listing-feed-ckpt")
     feeds.stream_listing_feed(spark, sf_dir, sink, ckpt, part=fx.table(spark, sf_dir, "part"))
     return spark.read.parquet(sink)
+
+
+# --- machine learning ---------------------------------------------------------
+
+@register("feature_table")
+def q_feature_table(spark, sf_dir):
+    return segments.feature_table(silver(spark, sf_dir))
+
+
+@register("scale_features")
+def q_scale_features(spark, sf_dir):
+    scaled, _ = segments.scale_features(segments.feature_table(silver(spark, sf_dir)))
+    return scaled.select("ID", vector_to_array("scaled").alias("SCALED"))
+
+
+@register("segment_market")
+def q_segment_market(spark, sf_dir):
+    return segments.segment_market(spark, silver(spark, sf_dir)).clusters
+
+
+@register("select_k")
+def q_select_k(spark, sf_dir):
+    seg = segments.segment_market(spark, silver(spark, sf_dir))
+    return seg.report if seg.report is not None else segments.k_report(spark, [])
+
+
+@register("segment_market_fixed_k")
+def q_segment_market_fixed_k(spark, sf_dir):
+    s = silver(spark, sf_dir).select("brand", "model", "year", "price", "mileage", "is_ulez_compliant")
+    return segments.segment_market(spark, segments.drop_incomplete(s), k=3, name=False).clusters
+
+
+@register("cluster_distribution")
+def q_cluster_distribution(spark, sf_dir):
+    return segments.cluster_distribution(segments.segment_market(spark, silver(spark, sf_dir)).clusters)
+
+
+@register("cluster_profile")
+def q_cluster_profile(spark, sf_dir):
+    return segments.cluster_profile(segments.segment_market(spark, silver(spark, sf_dir)).clusters)
+
+
+@register("split_train_test")
+def q_split_train_test(spark, sf_dir):
+    train, test = pricing.split_train_test(warehouse_fact(spark, sf_dir))
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+@register("price_model_metrics")
+def q_price_model_metrics(spark, sf_dir):
+    return pricing.run_price_model(warehouse_fact(spark, sf_dir)).metrics
+
+
+@register("price_attribution")
+def q_price_attribution(spark, sf_dir):
+    return pricing.run_price_model(warehouse_fact(spark, sf_dir)).attributions
+
+
+# --- pipelines ------------------------------------------------------------------
+
+@register("run_medallion")
+def q_run_medallion(spark, sf_dir):
+    bronze_root = scratch_path(spark, "bronze")
+    fx.listings_raw(spark, sf_dir).write.parquet(bronze_root)
+    out = medallion.run_medallion(spark, bronze_root, scratch_path(spark, "lake"),
+                                  tie_breakers=fx.LISTING_TIE_BREAKERS[1:])
+    return out.market_impact
+
+
+@register("ingest_documents")
+def q_ingest_documents(spark, sf_dir):
+    docs = scratch_path(spark, "pages")
+    fx.listing_documents(spark, sf_dir).select(F.to_json(F.array("response")).alias("value")).write.text(docs)
+    bronze_root = scratch_path(spark, "bronze")
+    medallion.ingest_documents(spark, docs, "BMW", "Diesel", bronze_root, per_line=True)
+    return spark.read.parquet(bronze_root).drop("ingestion_timestamp", "ingest_date")
+
+
+# Fixed split point of the incremental check: rows shipped before it form
+# the first load, the rest the appended batch.
+INCREMENTAL_CUTOFF = "1998-01-01"
+
+
+@register("incremental_silver")
+def q_incremental_silver(spark, sf_dir):
+    raw = fx.listings_raw(spark, sf_dir)
+    old = F.col("ingestion_timestamp") < F.lit(INCREMENTAL_CUTOFF).cast("timestamp")
+    ties = fx.LISTING_TIE_BREAKERS
+    first = build_silver(raw.filter(old), tie_breakers=ties, stamp=False)
+    return medallion.incremental_silver(first, raw.filter(~old), tie_breakers=ties, rule="strict").select(
+        *first.columns)
