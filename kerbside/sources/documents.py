@@ -39,8 +39,7 @@ def read_listing_documents(spark: SparkSession, paths: str | Sequence[str], per_
     """S1 + E7: read every saved page at once (a path list or glob is a
     union-all of pages; empty pages contribute nothing)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read if per_line else spark.read.option("wholetext", "true")
-    return parse_documents(reader.text(paths))
+    return parse_documents(spark.read.text(paths, wholetext=not per_line))
 
 
 def extract_listings(listings: DataFrame, fuel_filter: str | Column | None = None) -> DataFrame:
