@@ -23,6 +23,8 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.session import spread_for_iteration
+
 # Model features, label, split share and seed, and the boosted
 # tree settings.
 FEATURES = ("vehicle_age", "mileage", "engine_size", "is_ulez_compliant")
@@ -61,10 +63,14 @@ def train_price_model(train: DataFrame, features: Sequence[str] = FEATURES, labe
                       trees: int = TREES, depth: int = DEPTH, step: float = STEP,
                       seed: int = SEED) -> GBTRegressionModel:
     """M7."""
-    data = _assembler(features).transform(model_input(train, features, label))
+    data = _assembler(features).transform(model_input(train, features, label)).select("features", "__label")
+    data = spread_for_iteration(data)
     gbt = GBTRegressor(featuresCol="features", labelCol="__label", maxIter=trees, maxDepth=depth,
-                       stepSize=step, lossType="squared", seed=seed, cacheNodeIds=True)
-    return gbt.fit(data)
+                       stepSize=step, lossType="squared", seed=seed)
+    try:
+        return gbt.fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: GBTRegressionModel, df: DataFrame, features: Sequence[str] = FEATURES,

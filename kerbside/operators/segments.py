@@ -20,6 +20,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kerbside.session import spread_for_iteration
+
 # Features, K range, restarts, seed, the small-data fallback,
 # and the cluster labels by ascending mean price.
 FEATURES = ("PRICE", "MILEAGE", "YEAR")
@@ -75,7 +77,7 @@ def _best_of_restarts(scaled: DataFrame, ks: Sequence[int], restarts: int, seed:
     """For each K, the lowest-cost model of ``restarts`` seeds. All (K, seed)
     fits are submitted at once, so small jobs from different fits overlap."""
     grid = [(k, seed + i) for k in ks for i in range(restarts)]
-    fit = inheritable_thread_target(lambda ks_: _fit(scaled, ks_[0], ks_[1], max_iter, col))
+    fit = inheritable_thread_target(scaled.sparkSession)(lambda ks_: _fit(scaled, ks_[0], ks_[1], max_iter, col))
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
         models = list(pool.map(fit, grid))
     best: dict[int, KMeansModel] = {}
@@ -99,7 +101,7 @@ def select_k(scaled: DataFrame, k_range: Sequence[int] = K_RANGE, restarts: int
         return max(1, min(FALLBACK_K, distinct)), []
     best = _best_of_restarts(scaled, ks, restarts, seed, max_iter, col, parallel_fits)
     evaluator = ClusteringEvaluator(featuresCol=col, predictionCol="__cluster")
-    score = inheritable_thread_target(lambda k: evaluator.evaluate(best[k].transform(scaled)))
+    score = inheritable_thread_target(scaled.sparkSession)(lambda k: evaluator.evaluate(best[k].transform(scaled)))
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
         sils = list(pool.map(score, ks))
     results = [KResult(k, s, best[k].summary.trainingCost, best[k]) for k, s in zip(ks, sils)]
@@ -157,8 +159,8 @@ def segment_market(spark: SparkSession, silver: DataFrame, k: int | None = None,
     CLUSTER_ID, CLUSTER_NAME."""
     feats = feature_table(silver)
     scaled, _ = scale_features(feats)
-    # Cached once: every fit and evaluation below scans it again.
-    scaled = scaled.persist()
+    # Spread and cached once: every fit and evaluation below scans it again.
+    scaled = spread_for_iteration(scaled)
     report = None
     if k is None:
         k, results = select_k(scaled, restarts=restarts, seed=seed, max_iter=max_iter)

@@ -55,3 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint dir."""
     return f"{shared_dir(spark)}/kerbside/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread_for_iteration(df, min_partitions: int | None = None):
+    """Input of an iterative algorithm (K-means, boosted trees): at least one
+    partition per task slot, cached, because every iteration is a full pass
+    and AQE may have coalesced a small input into a few partitions."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n).persist()
