@@ -371,3 +371,6 @@ SELECT advert_id AS id, p_name AS title, 'BMW' AS brand, p_type AS model,
        'Diesel' AS fuel_type_raw
 FROM listing_texts
 WHERE l_suppkey % 7 <> 0"""
+
+ORACLE["brand_sources_union"] = "WITH " + STAGE_RAW + """
+SELECT id, title, price, year, mileage, fuelType, engineSize, transmission, brand FROM stage_raw"""

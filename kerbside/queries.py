@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark.ml.functions import vector_to_array
 
@@ -19,7 +20,9 @@ from kerbside.plans import medallion, warehouse_models
 from kerbside.operators.silver import build_silver
 from kerbside.functions.prices import parse_price
 from kerbside.session import scratch_path
+from kerbside.schemas import AUTOTRADER_RAW
 from kerbside.sources import bronze, documents
+from kerbside.sources import warehouse as wsrc
 from kerbside.sources import fixtures as fx
 from kerbside.streaming import feeds
 
@@ -336,3 +339,13 @@ def q_incremental_silver(spark, sf_dir):
     first = build_silver(raw.filter(old), tie_breakers=ties, stamp=False)
     return medallion.incremental_silver(first, raw.filter(~old), tie_breakers=ties, rule="strict").select(
         *first.columns)
+
+
+@register("brand_sources_union")
+def q_brand_sources_union(spark, sf_dir):
+    # The API-shaped rows saved as one CSV folder per brand, then read back as one table.
+    root = scratch_path(spark, "brand-csv")
+    cols = ["id", "brand", "title", "price", "year", "mileage", "fuelType", "engineSize", "transmission"]
+    fx.stage_raw(spark, sf_dir).select(*cols).write.partitionBy("brand").option("header", "true").csv(root)
+    schema = T.StructType([f for f in AUTOTRADER_RAW.fields if f.name in cols and f.name != "brand"])
+    return wsrc.brand_sources_union(spark, root, schema)
