@@ -16,7 +16,6 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside.schemas import BRONZE
@@ -47,14 +46,18 @@ def _footer_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
 
 
 def group_by_footer(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
-    """{schema signature: files}. One small job; only paths come back."""
+    """{schema signature: files}. Footers are read by one small job, ~64
+    files per task; what comes back is one (path, signature) row per file,
+    i.e. the file list the driver's file index already holds."""
     if not files:
         return {}
     n = max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
     paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
     sigs = paths.mapInPandas(_footer_signatures, "path string, signature string")
-    grouped = sigs.groupBy("signature").agg(F.collect_list("path").alias("paths")).collect()
-    return {r["signature"]: sorted(r["paths"]) for r in grouped}
+    groups: dict[str, list[str]] = {}
+    for r in sigs.toLocalIterator():
+        groups.setdefault(r["signature"], []).append(r["path"])
+    return {sig: sorted(ps) for sig, ps in groups.items()}
 
 
 def read_bronze_union(spark: SparkSession, root: str | Sequence[str], schema: T.StructType = BRONZE,
