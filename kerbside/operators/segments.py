@@ -124,7 +124,7 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
         F.avg(F.col("YEAR").cast("double")).alias("mean_year"))
 
 
-def cluster_labels(profile: DataFrame) -> DataFrame:
+def rank_clusters(profile: DataFrame) -> DataFrame:
     """Rank clusters by mean price ascending -> Budget Entry, Standard
     Market, Premium Segment, then 'Segment i'. The input has k rows."""
     rank = F.row_number().over(Window.orderBy(F.col("mean_price").asc_nulls_last(), F.col("CLUSTER_ID")))
@@ -180,7 +180,7 @@ def segment_market(spark: SparkSession, silver: DataFrame, k: int | None = None,
         if k > 1 else None
     out = assigned.withColumn("CLUSTER_ID", F.col("__cluster").cast("int")).drop("__cluster", "scaled")
     if name:
-        out = name_clusters(out, cluster_labels(cluster_profile(out)))
+        out = name_clusters(out, rank_clusters(cluster_profile(out)))
     else:
         out = out.withColumn("CLUSTER_NAME", F.lit(FIXED_K_NAME))
     return Segmentation(out, k, silhouette, report)

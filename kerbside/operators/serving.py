@@ -75,3 +75,13 @@ def diesel_display(diesel: DataFrame) -> DataFrame:
 def cluster_scatter(clusters: DataFrame) -> DataFrame:
     """The columns the cluster scatter plot reads."""
     return clusters.select(*CLUSTER_SCATTER)
+
+
+def display_tables(diesel: DataFrame | None = None, clusters: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The renamed diesel mart and the cluster scatter columns."""
+    out: dict[str, DataFrame] = {}
+    if diesel is not None:
+        out["diesel"] = diesel_display(diesel)
+    if clusters is not None:
+        out["clusters"] = cluster_scatter(clusters)
+    return out

@@ -32,7 +32,7 @@ def detect_columns(df: DataFrame, optional: Sequence[str] = ("brand", "model", "
     return {c: c in present for c in optional}
 
 
-def with_fallbacks(df: DataFrame) -> DataFrame:
+def fallback_columns(df: DataFrame) -> DataFrame:
     """Brand -> 'UNKNOWN'; model -> title -> 'UNKNOWN'. Absent columns
     count as NULL; an empty string is kept."""
     have = detect_columns(df)
@@ -48,7 +48,7 @@ def clean_listings(bronze: DataFrame, rule: str = "strict", stamp: bool = True)
     missing = [c for c in REQUIRED_BRONZE if c not in bronze.columns]
     if missing:
         raise ValueError(f"Bronze is missing required columns: {missing}")
-    df = with_fallbacks(bronze)
+    df = fallback_columns(bronze)
     fuel = normalize_fuel("fuelType")
     out = df.withColumns({
         "price": cast_price("price"),
@@ -56,9 +56,12 @@ def clean_listings(bronze: DataFrame, rule: str = "strict", stamp: bool = True)
         "engine_size": F.col("engineSize"),
         "is_ulez_compliant": compliance_flag(fuel, F.col("year"), rule),
     })
-    if stamp:
-        out = out.withColumn("processed_at", F.current_timestamp())
-    return out
+    return stamp_processed(out) if stamp else out
+
+
+def stamp_processed(df: DataFrame) -> DataFrame:
+    """Processing time of the run (one value per query)."""
+    return df.withColumn("processed_at", F.current_timestamp())
 
 
 def build_silver(bronze: DataFrame, tie_breakers: Sequence[str] = (), rule: str = "strict",

@@ -374,3 +374,49 @@ WHERE l_suppkey % 7 <> 0"""
 
 ORACLE["brand_sources_union"] = "WITH " + STAGE_RAW + """
 SELECT id, title, price, year, mileage, fuelType, engineSize, transmission, brand FROM stage_raw"""
+
+# --- inventory keys ---------------------------------------------------------------
+
+ORACLE["dedup_latest"] = "WITH " + LISTINGS_RAW + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingestion_timestamp DESC, tie_line DESC,
+                                              tie_part DESC, tie_supp DESC, price DESC) AS rn
+  FROM listings_raw) WHERE rn = 1"""
+
+ORACLE["listing_change_stream"] = "WITH " + AUTOTRADER_RAW + "\nSELECT * EXCLUDE (search_timestamp) FROM autotrader_raw"
+
+ORACLE["append_with_column_list"] = "WITH " + AUTOTRADER_RAW + """
+SELECT brand, title AS model, year, CAST(NULL AS DOUBLE) AS price, CAST(NULL AS VARCHAR) AS transmission, mileage,
+       CAST(NULL AS VARCHAR) AS fuel_type, CAST(NULL AS INT) AS tax, CAST(NULL AS DOUBLE) AS mpg,
+       CAST(NULL AS DOUBLE) AS engine_size, CAST(NULL AS BOOLEAN) AS is_ulez_compliant,
+       CAST(NULL AS INT) AS vehicle_age, CAST(NULL AS DOUBLE) AS price_per_mile
+FROM autotrader_raw"""
+
+ORACLE["skip_when_no_data"] = ORACLE["merc_feed"]
+
+ORACLE["trust_score"] = "SELECT AVG(CASE WHEN status = 'PASS' THEN 1 ELSE 0 END) * 100 AS trust_score FROM (" + \
+    ORACLE["run_quality_checks"] + ")"
+
+ORACLE["mask_price"] = "WITH " + SILVER + "\nSELECT " + _SILVER_COLS.format(
+    model="model", price="CAST(-999.99 AS DECIMAL(10,2))") + " FROM silver"
+ORACLE["mask_text"] = "WITH " + SILVER + "\nSELECT " + _SILVER_COLS.format(model="'*********'", price="price") + " FROM silver"
+ORACLE["filter_rows"] = "WITH " + SILVER + "\nSELECT * FROM silver WHERE brand IN ('Brand#1', 'Brand#2')"
+ORACLE["governed_view"] = ORACLE["governed_diesel_developer"]
+ORACLE["display_tables"] = ORACLE["diesel_display"]
+
+FIXED_CLUSTERS = SILVER + """,
+f AS (
+  SELECT id, price, is_ulez_compliant, CAST(floor(mileage / 25000) AS INT) AS cid FROM silver
+  WHERE price IS NOT NULL AND mileage IS NOT NULL AND year IS NOT NULL
+),
+prof AS (SELECT cid, AVG(CAST(price AS DOUBLE)) AS mp FROM f GROUP BY cid),
+lab AS (
+  SELECT cid, CASE rk WHEN 1 THEN 'Budget Entry' WHEN 2 THEN 'Standard Market' WHEN 3 THEN 'Premium Segment'
+                      ELSE 'Segment ' || CAST(rk AS VARCHAR) END AS label
+  FROM (SELECT cid, row_number() OVER (ORDER BY mp ASC NULLS LAST, cid) AS rk FROM prof)
+)"""
+ORACLE["rank_clusters"] = "WITH " + FIXED_CLUSTERS + '\nSELECT cid AS "CLUSTER_ID", label AS "CLUSTER_LABEL" FROM lab'
+ORACLE["name_clusters"] = "WITH " + FIXED_CLUSTERS + """
+SELECT f.id AS "ID", f.cid AS "CLUSTER_ID",
+       lab.label || ' ' || CASE WHEN is_ulez_compliant THEN '(Compliant)' ELSE '(Non-Compliant)' END AS "CLUSTER_NAME"
+FROM f JOIN lab USING (cid)"""

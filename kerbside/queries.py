@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from kerbside.operators import gold, governance, pricing, quality, segments, serving
 from kerbside.operators import warehouse as wh
 from kerbside.plans import medallion, warehouse_models
+from kerbside.operators.dedup import dedup_latest
 from kerbside.operators.silver import build_silver
 from kerbside.functions.prices import parse_price
 from kerbside.session import scratch_path
@@ -349,3 +350,90 @@ def q_brand_sources_union(spark, sf_dir):
     fx.stage_raw(spark, sf_dir).select(*cols).write.partitionBy("brand").option("header", "true").csv(root)
     schema = T.StructType([f for f in AUTOTRADER_RAW.fields if f.name in cols and f.name != "brand"])
     return wsrc.brand_sources_union(spark, root, schema)
+
+
+# --- inventory keys ---------------------------------------------------------------
+
+@register("dedup_latest")
+def q_dedup_latest(spark, sf_dir):
+    raw = fx.listings_raw(spark, sf_dir)
+    return dedup_latest(raw, "id", list(fx.LISTING_TIE_BREAKERS))
+
+
+@register("listing_change_stream")
+def q_listing_change_stream(spark, sf_dir):
+    # Consume the API table's change stream as is (both actions) into a sink.
+    sink, ckpt = scratch_path(spark, "changes"), scratch_path(spark, "changes-ckpt")
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
+    stream = feeds.listing_change_stream(spark, sf_dir, fx.table(spark, sf_dir, "lineitem").schema,
+                                         glob="lineitem.parquet")
+    raw = fx.project_autotrader(stream.join(part, stream["l_partkey"] == part["p_partkey"]))
+    feeds.start_feed(raw, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).drop("search_timestamp")
+
+
+@register("append_with_column_list")
+def q_append_with_column_list(spark, sf_dir):
+    raw = fx.autotrader_raw(spark, sf_dir)
+    named = raw.select("brand", F.col("title").alias("model"), "year", "mileage")
+    return wh.append_with_column_list(named)
+
+
+@register("skip_when_no_data")
+def q_skip_when_no_data(spark, sf_dir):
+    sink, ckpt = scratch_path(spark, "merc-feed"), scratch_path(spark, "merc-feed-ckpt")
+    feeds.stream_brand_feed(spark, sf_dir, sink, ckpt)
+    second = feeds.stream_brand_feed(spark, sf_dir, sink, ckpt)
+    if not feeds.skip_when_no_data(second):
+        raise RuntimeError("a rerun over unchanged input consumed rows")
+    return spark.read.parquet(sink)
+
+
+@register("trust_score")
+def q_trust_score(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    return serving.trust_score(quality.quality_results(s, gold.market_impact(s)))
+
+
+@register("mask_price")
+def q_mask_price(spark, sf_dir):
+    return governance.mask_columns(silver(spark, sf_dir), ROLES["developer"], price_cols=("price",))
+
+
+@register("mask_text")
+def q_mask_text(spark, sf_dir):
+    return governance.mask_columns(silver(spark, sf_dir), ROLES["auditor"], text_cols=("model",))
+
+
+@register("filter_rows")
+def q_filter_rows(spark, sf_dir):
+    return governance.filter_rows(silver(spark, sf_dir), ROLES["developer"], developer_brands=FIXTURE_DEV_BRANDS)
+
+
+@register("governed_view")
+def q_governed_view(spark, sf_dir):
+    return q_governed_diesel_developer(spark, sf_dir)
+
+
+@register("display_tables")
+def q_display_tables(spark, sf_dir):
+    return serving.display_tables(diesel=gold.diesel_devaluation(silver(spark, sf_dir)))["diesel"]
+
+
+def fixed_clusters(spark, sf_dir):
+    """Clustering input with cluster ids fixed by a rule (mileage band), so
+    ranking and naming can be checked against SQL."""
+    feats = segments.feature_table(silver(spark, sf_dir))
+    return feats.withColumn("CLUSTER_ID", F.floor(F.col("MILEAGE") / 25000).cast("int"))
+
+
+@register("rank_clusters")
+def q_rank_clusters(spark, sf_dir):
+    return segments.rank_clusters(segments.cluster_profile(fixed_clusters(spark, sf_dir)))
+
+
+@register("name_clusters")
+def q_name_clusters(spark, sf_dir):
+    c = fixed_clusters(spark, sf_dir)
+    named = segments.name_clusters(c, segments.rank_clusters(segments.cluster_profile(c)))
+    return named.select("ID", "CLUSTER_ID", "CLUSTER_NAME")

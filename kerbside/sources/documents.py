@@ -42,6 +42,12 @@ def read_listing_documents(spark: SparkSession, paths: str | Sequence[str], per_
     return parse_documents(spark.read.text(paths, wholetext=not per_line))
 
 
+def concat_pages(spark: SparkSession, pages: Sequence[str], per_line: bool = False) -> DataFrame:
+    """The listings of pages 1..n of one brand x fuel, in one read (a
+    union-all of the pages; an empty page adds nothing)."""
+    return read_listing_documents(spark, list(pages), per_line=per_line)
+
+
 def extract_listings(listings: DataFrame, fuel_filter: str | Column | None = None) -> DataFrame:
     """Listings with a tracking context -> flat listing rows.
 

@@ -86,3 +86,10 @@ def stream_listing_feed(spark: SparkSession, source: str, sink: str, checkpoint:
             raw = stream
         return listing_feed_rows(raw)
     return run_feed(spark, source, project, sink, checkpoint, glob, trigger=trigger)
+
+
+def skip_when_no_data(query: StreamingQuery) -> bool:
+    """Whether the run consumed any rows. An availableNow run over a
+    source with nothing new plans no micro-batch at all, so no sink files
+    and no compute are spent; this reports which case happened."""
+    return not any(p.get("numInputRows", 0) > 0 for p in query.recentProgress)
