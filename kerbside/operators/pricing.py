@@ -23,7 +23,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.session import spread_for_iteration
+from kerbside.session import shared_dir, spread_for_iteration
 
 # Model features, label, split share and seed, and the boosted
 # tree settings.
@@ -65,8 +65,11 @@ def train_price_model(train: DataFrame, features: Sequence[str] = FEATURES, labe
     """M7."""
     data = _assembler(features).transform(model_input(train, features, label)).select("features", "__label")
     data = spread_for_iteration(data)
+    # Boosting state is checkpointed to the shared folder every 10 trees, so a
+    # lost executor costs at most 10 trees of lineage, not the whole run.
+    shared_dir(data.sparkSession)
     gbt = GBTRegressor(featuresCol="features", labelCol="__label", maxIter=trees, maxDepth=depth,
-                       stepSize=step, lossType="squared", seed=seed)
+                       stepSize=step, lossType="squared", seed=seed, checkpointInterval=10)
     try:
         return gbt.fit(data)
     finally:

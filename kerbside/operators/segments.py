@@ -32,6 +32,9 @@ FALLBACK_K = 3
 CLUSTER_LABELS = ("Budget Entry", "Standard Market", "Premium Segment")
 FIXED_K_NAME = "Assigned by Snowpark"
 
+ROWS_PER_PARTITION = 2_000_000
+PARALLEL_FITS = 8
+
 
 def drop_incomplete(df: DataFrame, cols: Sequence[str] = ("price", "mileage", "year")) -> DataFrame:
     """Rows with all of ``cols`` non-NULL."""
@@ -88,11 +91,12 @@ def _best_of_restarts(scaled: DataFrame, ks: Sequence[int], restarts: int, seed:
 
 
 def select_k(scaled: DataFrame, k_range: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
-             max_iter: int = 20, col: str = "scaled", parallel_fits: int = 8) -> tuple[int, list[KResult]]:
+             max_iter: int = 20, col: str = "scaled", parallel_fits: int = 8,
+             n: int | None = None) -> tuple[int, list[KResult]]:
     """M2: the K with the highest silhouette (first K on ties). Fewer rows than
     max(k_range) -> K=3 (capped by the distinct rows); a K the data cannot
     support (K >= distinct rows) is skipped."""
-    n = scaled.count()
+    n = scaled.count() if n is None else n
     distinct = scaled.select(col).distinct().count() if n < 10 * max(k_range) else n
     if n < max(k_range):
         return max(1, min(FALLBACK_K, distinct)), []
@@ -159,25 +163,32 @@ def segment_market(spark: SparkSession, silver: DataFrame, k: int | None = None,
     CLUSTER_ID, CLUSTER_NAME."""
     feats = feature_table(silver)
     scaled, _ = scale_features(feats)
-    # Spread and cached once: every fit and evaluation below scans it again.
-    scaled = spread_for_iteration(scaled)
+    rows = feats.count()
+    # Fits and silhouettes scan only the scaled vectors: cache just that
+    # column, ~2M rows per partition, but no fewer partitions than task slots
+    # per concurrent fit (many small fits run side by side).
+    slots = spark.sparkContext.defaultParallelism
+    parts = max(-(-rows // ROWS_PER_PARTITION), max(1, slots // PARALLEL_FITS))
+    train = spread_for_iteration(scaled.select("scaled"), parts)
     report = None
     if k is None:
-        k, results = select_k(scaled, restarts=restarts, seed=seed, max_iter=max_iter)
+        k, results = select_k(train, restarts=restarts, seed=seed, max_iter=max_iter,
+                              parallel_fits=PARALLEL_FITS, n=rows)
         chosen = next((r.model for r in results if r.k == k), None)
         report = k_report(spark, results) if results else None
     else:
         chosen = None
+    silhouette = None
     if k < 2:
         # One distinct point: K-means needs k >= 2, everything is cluster 0.
         assigned = scaled.withColumn("__cluster", F.lit(0))
-        chosen = None
-    elif chosen is None:
-        chosen = _best_of_restarts(scaled, [k], restarts, seed, max_iter, "scaled")[k]
-    if chosen is not None:
+    else:
+        if chosen is None:
+            chosen = _best_of_restarts(train, [k], restarts, seed, max_iter, "scaled", PARALLEL_FITS)[k]
+        silhouette = ClusteringEvaluator(featuresCol="scaled", predictionCol="__cluster").evaluate(
+            chosen.transform(train))
         assigned = chosen.transform(scaled)
-    silhouette = ClusteringEvaluator(featuresCol="scaled", predictionCol="__cluster").evaluate(assigned) \
-        if k > 1 else None
+    train.unpersist()
     out = assigned.withColumn("CLUSTER_ID", F.col("__cluster").cast("int")).drop("__cluster", "scaled")
     if name:
         out = name_clusters(out, rank_clusters(cluster_profile(out)))
