@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 from kerbside.functions.compliance import exact_mean, price_efficiency, vehicle_age
 
 
-def _when_flag(flag: Column, value: Column) -> Column:
-    return F.when(flag, value)
-
-
 def _gap_percent(avg_compliant: Column, avg_non_compliant: Column) -> Column:
     return F.round((avg_non_compliant - avg_compliant) / F.nullif(avg_compliant, F.lit(0)) * 100, 1)
 

@@ -100,10 +100,3 @@ def append_audit(fresh: DataFrame, history: DataFrame | None = None, keep: int =
     """K3/T5: history + new records, newest ``keep`` rows kept."""
     both = fresh if history is None else history.unionByName(fresh)
     return both.orderBy(F.col("check_timestamp").desc_nulls_last(), F.col("check_name").asc_nulls_last()).limit(keep)
-
-
-def guard_bronze_present(paths: list[str]) -> list[str]:
-    """Q6: abort when no Bronze files exist."""
-    if not paths:
-        raise FileNotFoundError("Bronze layer is empty: nothing to process")
-    return paths

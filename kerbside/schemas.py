@@ -54,5 +54,3 @@ WAREHOUSE_FACT = struct(
     ("fuel_type", S), ("tax", I), ("mpg", D), ("engine_size", D), ("is_ulez_compliant", B),
     ("vehicle_age", I), ("price_per_mile", D),
 )
-
-CLUSTER_NAMES_COLS = ("CLUSTER_ID", "CLUSTER_NAME")
