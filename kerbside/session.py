@@ -57,9 +57,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/kerbside/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread_for_iteration(df, min_partitions: int | None = None):
-    """Input of an iterative algorithm (K-means, boosted trees): at least one
-    partition per task slot, cached, because every iteration is a full pass
-    and AQE may have coalesced a small input into a few partitions."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n).persist()
+def spread_for_iteration(df, partitions: int | None = None):
+    """Input of an iterative algorithm (K-means, boosted trees), cached,
+    because every iteration is a full pass. ``partitions`` (sized by the
+    caller from a row count) is used as given; without it the input gets at
+    least one partition per task slot, since AQE may have coalesced a small
+    input into a few, and a large input keeps its own, larger count."""
+    if partitions is None:
+        partitions = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    return df.repartition(partitions).persist()
