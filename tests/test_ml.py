@@ -95,3 +95,15 @@ def test_price_model_fits_and_attributions_add_up(spark):
     for r in rows:
         total = r.base_value + sum(r[f"phi_{f}"] for f in pricing.FEATURES)
         assert abs(total - r.prediction) < 1e-6
+
+
+def test_attributions_with_background_sample_add_up(spark):
+    fact = _fact(spark)
+    train, test = pricing.split_train_test(fact)
+    model = pricing.train_price_model(train, trees=10, depth=3)
+    points = pricing.background_points(train, 3)
+    assert len(points) == 3 and points == pricing.background_points(train.repartition(5), 3)
+    rows = pricing.price_attribution(model, test, points).collect()
+    for r in rows:
+        total = r.base_value + sum(r[f"phi_{f}"] for f in pricing.FEATURES)
+        assert abs(total - r.prediction) < 1e-6
