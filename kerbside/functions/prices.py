@@ -30,7 +30,12 @@ def parse_price(c: Column | str, mode: str = "zero") -> Column:
     if mode == "zero":
         return F.coalesce(_strip_pound_and_commas(c).try_cast("double"), F.lit(0.0))
     if mode == "fail":
-        return F.replace(c.cast("string"), F.lit(THOUSANDS), F.lit("")).cast("double")
+        # Raised explicitly, so the failure does not depend on ANSI mode.
+        text = F.replace(c.cast("string"), F.lit(THOUSANDS), F.lit(""))
+        parsed = text.try_cast("double")
+        return F.when(text.isNotNull() & parsed.isNull(),
+                      F.raise_error(F.concat(F.lit("price is not a number: "), text)).cast("double")
+                      ).otherwise(parsed)
     if mode == "null":
         # Whole pounds, half away from zero ('12.5' -> 13), via DECIMAL so the
         # result does not depend on the engine's text->INT rule.

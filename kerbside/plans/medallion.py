@@ -37,7 +37,11 @@ class MedallionOutput:
 def run_medallion(spark: SparkSession, bronze_root: str | Sequence[str], out_root: str,
                   tie_breakers: Sequence[str] = (), rule: str = "strict",
                   bronze: DataFrame | None = None) -> MedallionOutput:
-    """L1: Q6 -> S2/S3 -> P4-P7, P14 -> W1 -> Q6 -> K2 -> A1 -> K2 -> A2 -> K2."""
+    """L1: Q6 -> S2/S3 -> P4-P7, P14 -> W1 -> K2 -> Q6 -> A1 -> K2 -> A2 -> K2.
+
+    Silver is written to this run's own new folder and then checked for rows,
+    so the check reads files instead of recomputing the dedup; an empty
+    Silver raises before any mart is built."""
     raw = bronze if bronze is not None else read_bronze_union(spark, bronze_root, keep_extra=tie_breakers)
     paths = {name: f"{out_root.rstrip('/')}/{name}" for name in
              ("silver/fct_cars", "gold/mart_market_impact", "gold/mart_diesel_devaluation")}

@@ -39,3 +39,13 @@ def test_price_per_mile_policies(spark):
     df = spark.createDataFrame([(100.0, 0), (100.0, None), (100.0, 50)], "p double, m int")
     assert [r[0] for r in df.select(price_per_mile("p", "m", "null")).collect()] == [None, None, 2.0]
     assert [r[0] for r in df.select(price_per_mile("p", "m", "zero")).collect()] == [0.0, 0.0, 2.0]
+
+
+def test_fail_mode_raises_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            _col(spark, ["£15,000"], parse_price(F.col("v"), "fail"))
+        assert _col(spark, ["1,250", None], parse_price(F.col("v"), "fail")) == [1250.0, None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
