@@ -25,8 +25,8 @@ listings_raw AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""
 
-AUTOTRADER_RAW = """
-autotrader_raw AS (
+API_RAW = """
+api_raw AS (
   SELECT CAST(l_orderkey AS VARCHAR(20)) AS id,
          p_brand AS brand,
          CASE WHEN p_size % 7 = 0 THEN p_type ELSE p_name END AS title,
@@ -121,14 +121,14 @@ LENIENT = """CASE WHEN fuelType = 'Petrol' AND year >= 2006 THEN TRUE
               ELSE FALSE END"""
 P3 = "CAST(round(TRY_CAST(replace(replace(price, '£', ''), ',', '') AS DECIMAL(18,4))) AS INT)"
 
-FACT = AUTOTRADER_RAW + f""",
+FACT = API_RAW + f""",
 fact AS (
   SELECT brand, title AS model, year, CAST({P3} AS DOUBLE) AS price, transmission, mileage,
          fuelType AS fuel_type, CAST(NULL AS INT) AS tax, CAST(NULL AS DOUBLE) AS mpg,
          engineSize AS engine_size, {LENIENT} AS is_ulez_compliant,
          2025 - year AS vehicle_age,
          CAST({P3} AS DOUBLE) / NULLIF(mileage, 0) AS price_per_mile
-  FROM autotrader_raw WHERE action = 'INSERT'
+  FROM api_raw WHERE action = 'INSERT'
 )"""
 
 ORACLE["warehouse_fact"] = "WITH " + FACT + "\nSELECT * FROM fact"
@@ -211,13 +211,13 @@ fact AS (SELECT * FROM fct),
 s AS ({IMPACT_SUMMARY})
 SELECT *, avg_price / NULLIF(avg_age, 0) AS price_efficiency FROM s"""
 
-ORACLE["backfill_missing"] = "WITH " + LISTINGS_RAW + "," + AUTOTRADER_RAW + f"""
+ORACLE["backfill_missing"] = "WITH " + LISTINGS_RAW + "," + API_RAW + f"""
 SELECT brand, title AS model, year, CAST({P3} AS DOUBLE) AS price, transmission, mileage,
        fuelType AS fuel_type, CAST(NULL AS INT) AS tax, CAST(NULL AS DOUBLE) AS mpg,
        engineSize AS engine_size, {LENIENT} AS is_ulez_compliant,
        2025 - year AS vehicle_age,
        CAST({P3} AS DOUBLE) / NULLIF(mileage, 0) AS price_per_mile
-FROM autotrader_raw a
+FROM api_raw a
 WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT model FROM listings_raw WHERE model IS NOT NULL) f
                   WHERE f.model = a.title)"""
 
@@ -383,14 +383,14 @@ SELECT * EXCLUDE (rn) FROM (
                                               tie_part DESC, tie_supp DESC, price DESC) AS rn
   FROM listings_raw) WHERE rn = 1"""
 
-ORACLE["listing_change_stream"] = "WITH " + AUTOTRADER_RAW + "\nSELECT * EXCLUDE (search_timestamp) FROM autotrader_raw"
+ORACLE["listing_change_stream"] = "WITH " + API_RAW + "\nSELECT * EXCLUDE (search_timestamp) FROM api_raw"
 
-ORACLE["append_with_column_list"] = "WITH " + AUTOTRADER_RAW + """
+ORACLE["append_with_column_list"] = "WITH " + API_RAW + """
 SELECT brand, title AS model, year, CAST(NULL AS DOUBLE) AS price, CAST(NULL AS VARCHAR) AS transmission, mileage,
        CAST(NULL AS VARCHAR) AS fuel_type, CAST(NULL AS INT) AS tax, CAST(NULL AS DOUBLE) AS mpg,
        CAST(NULL AS DOUBLE) AS engine_size, CAST(NULL AS BOOLEAN) AS is_ulez_compliant,
        CAST(NULL AS INT) AS vehicle_age, CAST(NULL AS DOUBLE) AS price_per_mile
-FROM autotrader_raw"""
+FROM api_raw"""
 
 ORACLE["skip_when_no_data"] = ORACLE["merc_feed"]
 

@@ -21,7 +21,7 @@ from kerbside.operators.dedup import dedup_latest
 from kerbside.operators.silver import build_silver
 from kerbside.functions.prices import parse_price
 from kerbside.session import scratch_path
-from kerbside.schemas import AUTOTRADER_RAW
+from kerbside.schemas import API_RAW
 from kerbside.sources import bronze, documents
 from kerbside.sources import warehouse as wsrc
 from kerbside.sources import fixtures as fx
@@ -61,7 +61,7 @@ def q_diesel_devaluation(spark, sf_dir):
 
 def warehouse_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one warehouse fact: INSERT rows of the API feed (G2's body)."""
-    return wh.listing_feed_rows(fx.autotrader_raw(spark, sf_dir))
+    return wh.listing_feed_rows(fx.api_raw(spark, sf_dir))
 
 
 @register("warehouse_fact")
@@ -102,7 +102,7 @@ def q_warehouse_fact_dbt(spark, sf_dir):
 @register("backfill_missing")
 def q_backfill_missing(spark, sf_dir):
     fact_models = fx.listings_raw(spark, sf_dir).select("model").filter(F.col("model").isNotNull())
-    return wh.backfill_missing(fx.autotrader_raw(spark, sf_dir), fact_models)
+    return wh.backfill_missing(fx.api_raw(spark, sf_dir), fact_models)
 
 
 @register("external_listing_view")
@@ -348,7 +348,7 @@ def q_brand_sources_union(spark, sf_dir):
     root = scratch_path(spark, "brand-csv")
     cols = ["id", "brand", "title", "price", "year", "mileage", "fuelType", "engineSize", "transmission"]
     fx.stage_raw(spark, sf_dir).select(*cols).write.partitionBy("brand").option("header", "true").csv(root)
-    schema = T.StructType([f for f in AUTOTRADER_RAW.fields if f.name in cols and f.name != "brand"])
+    schema = T.StructType([f for f in API_RAW.fields if f.name in cols and f.name != "brand"])
     return wsrc.brand_sources_union(spark, root, schema)
 
 
@@ -367,14 +367,14 @@ def q_listing_change_stream(spark, sf_dir):
     part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
     stream = feeds.listing_change_stream(spark, sf_dir, fx.table(spark, sf_dir, "lineitem").schema,
                                          glob="lineitem.parquet")
-    raw = fx.project_autotrader(stream.join(part, stream["l_partkey"] == part["p_partkey"]))
+    raw = fx.project_api_listing(stream.join(part, stream["l_partkey"] == part["p_partkey"]))
     feeds.start_feed(raw, sink, ckpt).awaitTermination()
     return spark.read.parquet(sink).drop("search_timestamp")
 
 
 @register("append_with_column_list")
 def q_append_with_column_list(spark, sf_dir):
-    raw = fx.autotrader_raw(spark, sf_dir)
+    raw = fx.api_raw(spark, sf_dir)
     named = raw.select("brand", F.col("title").alias("model"), "year", "mileage")
     return wh.append_with_column_list(named)
 

@@ -46,7 +46,7 @@ AUDIT = struct(("check_timestamp", TS), ("layer", S), ("check_name", S),
 # Warehouse raw tables and the warehouse fact.
 MERC_RAW = struct(("model", S), ("year", I), ("price", I), ("transmission", S), ("mileage", I),
                   ("fuelType", S), ("tax", I), ("mpg", D), ("engineSize", D))
-AUTOTRADER_RAW = struct(("id", S), ("brand", S), ("title", S), ("price", S), ("year", I),
+API_RAW = struct(("id", S), ("brand", S), ("title", S), ("price", S), ("year", I),
                         ("mileage", I), ("fuelType", S), ("engineSize", D), ("transmission", S),
                         ("search_timestamp", TS))
 WAREHOUSE_FACT = struct(

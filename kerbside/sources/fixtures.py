@@ -75,13 +75,13 @@ def listings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 LISTING_TIE_BREAKERS = ("ingestion_timestamp", "tie_line", "tie_part", "tie_supp", "price")
 
 
-def autotrader_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """API-shaped raw table: text prices (plain, '£n,500', 'POA') and a change action."""
     j = _lineitem_part(spark, sf_dir, ["p_brand", "p_type", "p_name", "p_size"])
-    return project_autotrader(j)
+    return project_api_listing(j)
 
 
-def project_autotrader(j: DataFrame, price_text: Column | None = None) -> DataFrame:
+def project_api_listing(j: DataFrame, price_text: Column | None = None) -> DataFrame:
     price_text = price_text if price_text is not None else (F.when(F.col("l_linenumber") == 1, F.lit("POA"))
                   .when(F.col("l_linenumber") == 2,
                         F.concat(F.lit("£"), _int_text(F.col("l_extendedprice") / 1000), F.lit(",500")))
@@ -151,7 +151,7 @@ def stage_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.floor("l_extendedprice").cast("int")
     price_text = F.concat((F.floor(F.col("l_extendedprice") / 1000)).cast("int").cast("string"), F.lit(","),
                           F.lpad((whole % 1000).cast("string"), 3, "0"))
-    return project_autotrader(j, price_text).drop("action")
+    return project_api_listing(j, price_text).drop("action")
 
 
 def listing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,7 +81,7 @@ def stream_listing_feed(spark: SparkSession, source: str, sink: str, checkpoint:
         if part is not None:
             j = stream.join(part.select("p_partkey", "p_brand", "p_type", "p_name", "p_size"),
                             stream["l_partkey"] == part["p_partkey"])
-            raw = fx.project_autotrader(j)
+            raw = fx.project_api_listing(j)
         else:
             raw = stream
         return listing_feed_rows(raw)

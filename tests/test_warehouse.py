@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import warehouse as wh
 from kerbside.plans.warehouse_models import run_warehouse_models
-from kerbside.schemas import AUTOTRADER_RAW, WAREHOUSE_FACT
+from kerbside.schemas import API_RAW, WAREHOUSE_FACT
 from kerbside.sources.warehouse import brand_sources_union
 
 
@@ -25,7 +25,7 @@ def test_backfill_keeps_unmatched_and_null_titles(spark):
 
 def test_evolve_schema_adds_columns_and_defaults_stamp(spark):
     df = spark.createDataFrame([("1", "T", "£5")], "id string, title string, price string")
-    out = wh.evolve_schema(df, AUTOTRADER_RAW, stamp_col="search_timestamp").collect()[0]
+    out = wh.evolve_schema(df, API_RAW, stamp_col="search_timestamp").collect()[0]
     assert out.brand is None and out.search_timestamp is not None and out.price == "£5"
 
 
