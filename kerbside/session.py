@@ -47,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not visible to executors on a cluster.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = tempfile.mkdtemp(prefix="kerbside-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
