@@ -11,6 +11,7 @@ slice of the file list), not on the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -60,12 +61,29 @@ def group_by_footer(spark: SparkSession, files: Sequence[str]) -> dict[str, list
     return {sig: sorted(ps) for sig, ps in groups.items()}
 
 
+PARTITION_DATE = re.compile(r"/ingest_date=(\d{4}-\d{2}-\d{2})/")
+
+
+def prune_by_ingest_date(files: Sequence[str], since: str) -> list[str]:
+    """Files in ``ingest_date=`` folders on or after ``since`` (YYYY-MM-DD):
+    partition pruning done on the file list, before any footer is read."""
+    keep = []
+    for f in files:
+        m = PARTITION_DATE.search(f)
+        if m and m.group(1) >= since:
+            keep.append(f)
+    return keep
+
+
 def read_bronze_union(spark: SparkSession, root: str | Sequence[str], schema: T.StructType = BRONZE,
-                      keep_extra: Sequence[str] = ()) -> DataFrame:
+                      keep_extra: Sequence[str] = (), since: str | None = None) -> DataFrame:
     """All Bronze files, columns matched by name, absent columns NULL,
-    types cast to ``schema``. Raises FileNotFoundError when there are no
-    files (Q6)."""
+    types cast to ``schema``. With ``since``, only the date partitions from
+    that day on (the input of an incremental Silver run). Raises
+    FileNotFoundError when there are no files (Q6)."""
     files = list_files(spark, root)
+    if since is not None:
+        files = prune_by_ingest_date(files, since)
     if not files:
         raise FileNotFoundError(f"Bronze layer is empty: no parquet files under {root}")
     target = T.StructType(list(schema.fields) + [
