@@ -420,3 +420,6 @@ ORACLE["name_clusters"] = "WITH " + FIXED_CLUSTERS + """
 SELECT f.id AS "ID", f.cid AS "CLUSTER_ID",
        lab.label || ' ' || CASE WHEN is_ulez_compliant THEN '(Compliant)' ELSE '(Non-Compliant)' END AS "CLUSTER_NAME"
 FROM f JOIN lab USING (cid)"""
+
+ORACLE["latest_audit"] = ('SELECT layer AS "Layer", check_name AS "Check Name", status AS "Status", '
+                          'error_count AS "Failures" FROM (' + ORACLE["run_quality_checks"] + ")")

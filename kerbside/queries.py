@@ -437,3 +437,11 @@ def q_name_clusters(spark, sf_dir):
     c = fixed_clusters(spark, sf_dir)
     named = segments.name_clusters(c, segments.rank_clusters(segments.cluster_profile(c)))
     return named.select("ID", "CLUSTER_ID", "CLUSTER_NAME")
+
+
+@register("latest_audit")
+def q_latest_audit(spark, sf_dir):
+    # The four newest audit rows are this run's four checks; the run-time
+    # timestamp is left out so the result is deterministic.
+    s = silver(spark, sf_dir)
+    return serving.latest_audit(quality.quality_results(s, gold.market_impact(s))).drop("Timestamp")
