@@ -34,27 +34,28 @@ def list_files(spark: SparkSession, root: str | Sequence[str]) -> list[str]:
         raise
 
 
-def _footer_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-
-    for pdf in batches:
-        sigs = []
-        for path in pdf["path"]:
-            local = path[len("file:"):] if path.startswith("file:") else path
-            schema = pq.read_schema(local)
-            sigs.append(";".join(f"{f.name}:{f.type}" for f in schema))
-        yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
-
-
 def group_by_footer(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
     """{schema signature: files}. Footers are read by one small job, ~64
     files per task; what comes back is one (path, signature) row per file,
     i.e. the file list the driver's file index already holds."""
     if not files:
         return {}
+    # Defined here so it is shipped to the Python workers by value: executors
+    # need pandas and pyarrow, not this package on their path.
+    def footer_signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+
+        for pdf in batches:
+            sigs = []
+            for path in pdf["path"]:
+                local = path[len("file:"):] if path.startswith("file:") else path
+                schema = pq.read_schema(local)
+                sigs.append(";".join(f"{f.name}:{f.type}" for f in schema))
+            yield pd.DataFrame({"path": pdf["path"], "signature": sigs})
+
     n = max(1, min(len(files) // 64 + 1, spark.sparkContext.defaultParallelism * 4))
     paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
-    sigs = paths.mapInPandas(_footer_signatures, "path string, signature string")
+    sigs = paths.mapInPandas(footer_signatures, "path string, signature string")
     groups: dict[str, list[str]] = {}
     for r in sigs.toLocalIterator():
         groups.setdefault(r["signature"], []).append(r["path"])
