@@ -64,19 +64,25 @@ def stamp_processed(df: DataFrame) -> DataFrame:
     return df.withColumn("processed_at", F.current_timestamp())
 
 
-def build_silver(bronze: DataFrame, tie_breakers: Sequence[str] = (), rule: str = "strict",
-                 stamp: bool = True) -> DataFrame:
-    """P4-P7, P14, then W1: the newest row per id by ingestion_timestamp.
-
-    The dedup orders by the *raw* Bronze price when it is a tie-breaker.
-    """
+def silver_candidates(bronze: DataFrame, tie_breakers: Sequence[str] = (), rule: str = "strict",
+                      stamp: bool = True) -> tuple[DataFrame, list[str]]:
+    """Cleaned Bronze rows (P4-P7, P14) with their dedup order columns, which
+    are copies of the *raw* Bronze values (the raw price, not the cast one)."""
     order = ["ingestion_timestamp", *[c for c in tie_breakers if c != "ingestion_timestamp"]]
     renamed = {c: f"__tb_{c}" for c in order}
     staged = bronze.withColumns({v: F.col(k) for k, v in renamed.items()})
-    df = clean_listings(staged, rule=rule, stamp=stamp)
-    latest = dedup_latest(df, "id", list(renamed.values()))
-    cols = [c for c in SILVER_COLUMNS if stamp or c != "processed_at"]
-    return latest.select(*cols)
+    return clean_listings(staged, rule=rule, stamp=stamp), list(renamed.values())
+
+
+def silver_columns(stamp: bool = True) -> list[str]:
+    return [c for c in SILVER_COLUMNS if stamp or c != "processed_at"]
+
+
+def build_silver(bronze: DataFrame, tie_breakers: Sequence[str] = (), rule: str = "strict",
+                 stamp: bool = True) -> DataFrame:
+    """P4-P7, P14, then W1: the newest row per id by ingestion_timestamp."""
+    df, order = silver_candidates(bronze, tie_breakers, rule, stamp)
+    return dedup_latest(df, "id", order).select(*silver_columns(stamp))
 
 
 def guard_nonempty(df: DataFrame, what: str = "Silver") -> DataFrame:

@@ -15,9 +15,11 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbside.operators import gold, segments
-from kerbside.operators.silver import build_silver, guard_nonempty
+from kerbside.operators.dedup import dedup_latest
+from kerbside.operators.silver import build_silver, guard_nonempty, silver_candidates
 from kerbside.schemas import SILVER
 from kerbside.sinks.layers import write_bronze, write_layer
 from kerbside.sources.bronze import read_bronze_union, read_layer
@@ -80,12 +82,17 @@ def incremental_silver(current_silver: DataFrame, new_bronze: DataFrame, tie_bre
     """Silver after appending ``new_bronze``, without re-reading old Bronze.
 
     Bronze batches are stamped at ingestion, so a new batch is newer than
-    every row already in Silver: the newest row of an id in the batch
-    replaces that id's Silver row; ids not in the batch are kept as they are.
-    Equals a full refresh over old + new Bronze under that ordering.
+    every row already in Silver: an id's newest row in the batch replaces its
+    Silver row; ids not in the batch keep theirs. Current Silver rows (batch
+    0) and the batch's cleaned rows (batch 1) go through one dedup by id,
+    ordered by batch first: one shuffle, trimmed per key before it, and the
+    NULL id collapses to one row as in a full refresh. Equals a full refresh
+    over old + new Bronze under that ordering.
     """
-    fresh = build_silver(new_bronze, tie_breakers=tie_breakers, rule=rule, stamp=stamp)
-    new_ids = fresh.select(fresh["id"].alias("__new_id"))
-    # Null-safe: the single NULL-id row is replaced too, as a full refresh would.
-    kept = current_silver.join(new_ids, current_silver["id"].eqNullSafe(new_ids["__new_id"]), "left_anti")
-    return kept.unionByName(fresh.select(*current_silver.columns))
+    fresh, order = silver_candidates(new_bronze, tie_breakers, rule, stamp)
+    cols = list(current_silver.columns)
+    types = dict(fresh.dtypes)
+    old = current_silver.select(*cols, *[F.lit(None).cast(types[c]).alias(c) for c in order],
+                                F.lit(0).alias("__batch"))
+    new = fresh.select(*cols, *order, F.lit(1).alias("__batch"))
+    return dedup_latest(old.unionByName(new), "id", ["__batch", *order]).select(*cols)
