@@ -20,7 +20,7 @@ from kerbside.plans import medallion, warehouse_models
 from kerbside.operators.dedup import dedup_latest
 from kerbside.operators.silver import build_silver
 from kerbside.functions.prices import parse_price
-from kerbside.session import scratch_path
+from kerbside.session import scratch_path, shared_dir
 from kerbside.schemas import API_RAW
 from kerbside.sources import bronze, documents
 from kerbside.sources import warehouse as wsrc
@@ -42,6 +42,14 @@ def silver(spark: SparkSession, sf_dir: str, stamp: bool = False) -> DataFrame:
     return build_silver(fx.listings_raw(spark, sf_dir), tie_breakers=fx.LISTING_TIE_BREAKERS, stamp=stamp)
 
 
+def shared_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver for queries that read it more than once (checks and marts):
+    written once to the shared checkpoint folder and read back by each
+    branch, as the medallion pipeline does with its Silver layer."""
+    shared_dir(spark)
+    return silver(spark, sf_dir).checkpoint(eager=True)
+
+
 @register("silver_listings")
 def q_silver_listings(spark, sf_dir):
     return silver(spark, sf_dir)
@@ -129,7 +137,7 @@ def q_impact_ranking(spark, sf_dir):
 
 @register("headline_metrics")
 def q_headline_metrics(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = shared_silver(spark, sf_dir)
     return serving.headline_metrics(s, gold.market_impact(s))
 
 
@@ -168,7 +176,7 @@ def q_check_metrics_complete(spark, sf_dir):
 
 @register("run_quality_checks")
 def q_run_quality_checks(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = shared_silver(spark, sf_dir)
     return quality.quality_results(s, gold.market_impact(s), stamp=False)
 
 
@@ -391,7 +399,7 @@ def q_skip_when_no_data(spark, sf_dir):
 
 @register("trust_score")
 def q_trust_score(spark, sf_dir):
-    s = silver(spark, sf_dir)
+    s = shared_silver(spark, sf_dir)
     return serving.trust_score(quality.quality_results(s, gold.market_impact(s)))
 
 
@@ -443,5 +451,5 @@ def q_name_clusters(spark, sf_dir):
 def q_latest_audit(spark, sf_dir):
     # The four newest audit rows are this run's four checks; the run-time
     # timestamp is left out so the result is deterministic.
-    s = silver(spark, sf_dir)
+    s = shared_silver(spark, sf_dir)
     return serving.latest_audit(quality.quality_results(s, gold.market_impact(s))).drop("Timestamp")
