@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe
+from kerbside.llm import bpe, quality_rules, simhash
 from kerbside.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,13 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def op1_bpe_codec(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return bpe.digests(bpe.encode_decode(docs, tokenizer_path()))
+
+
+@register("op3_simhash_near_duplicates")
+def op3_simhash_near_duplicates(spark, sf_dir):
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=3, max_distance=2)
+
+
+@register("op5_quality_rules")
+def op5_quality_rules(spark, sf_dir):
+    return quality_rules.judge_documents(read_table(spark, sf_dir, "documents"))
