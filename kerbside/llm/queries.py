@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, quality_rules, simhash
+from kerbside.llm import bpe, quality_rules, sharding, simhash, url_filter
 from kerbside.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,13 @@ def op3_simhash_near_duplicates(spark, sf_dir):
 @register("op5_quality_rules")
 def op5_quality_rules(spark, sf_dir):
     return quality_rules.judge_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register("op2_url_filter")
+def op2_url_filter(spark, sf_dir):
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
+@register("op6_hilbert_shards")
+def op6_hilbert_shards(spark, sf_dir):
+    return sharding.assign(read_table(spark, sf_dir, "documents"), shards=40)
