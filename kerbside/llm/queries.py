@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, quality_rules, sharding, simhash, url_filter
+from kerbside.llm import bpe, quality_rules, secret_scan, sharding, simhash, url_filter, warc
 from kerbside.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,13 @@ def op2_url_filter(spark, sf_dir):
 @register("op6_hilbert_shards")
 def op6_hilbert_shards(spark, sf_dir):
     return sharding.assign(read_table(spark, sf_dir, "documents"), shards=40)
+
+
+@register("op9_warc_round_trip")
+def op9_warc_round_trip(spark, sf_dir):
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
+@register("op10_secret_scan")
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
