@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import bpe, quality_rules, secret_scan, sharding, simhash, url_filter, warc
+from kerbside.llm import (bpe, decontaminate, language_id, quality_rules, secret_scan, sharding, simhash,
+                          token_counts, url_filter, warc)
 from kerbside.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,19 @@ def op9_warc_round_trip(spark, sf_dir):
 @register("op10_secret_scan")
 def op10_secret_scan(spark, sf_dir):
     return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+@register("op4_decontaminate")
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    pieces = token_counts.zipf_pieces(tokenizer_path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), pieces)
+
+
+@register("op8_language_id")
+def op8_language_id(spark, sf_dir):
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
