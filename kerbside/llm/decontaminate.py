@@ -4,8 +4,9 @@ Benchmark items are taken in blocks of bounded text, each block searched
 against all documents. One pass counts how often each of the block's n-grams
 occurs in the whole corpus. In every run of ``seed_span`` neighbouring n-grams
 of an item the rarest one becomes a seed, so any unedited stretch of
-``seed_words + seed_span - 1`` words of an item holds a seed, and no n-gram is
-too common to be found. A second pass joins documents to items on the seeds,
+``seed_words + seed_span - 1`` words (four by default) of an item holds a
+seed, no n-gram is too common to be found, and a common phrase among rarer
+ones seeds nothing. A second pass joins documents to items on the seeds,
 through an index of the block's seeds that is broadcast (bounded by the
 block). Where seeds of an item fall, the stretch of the document around them
 is aligned with the item by Smith-Waterman over words (match 1, mismatch and
@@ -189,7 +190,7 @@ def _with_seeds(docs: DataFrame, text_col: str, block: Block):
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 3, seed_span: int = 5,
+                       item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 3, seed_span: int = 2,
                        min_score: float = 0.5, block_bytes: int = 2 << 20) -> DataFrame:
     """(id, item, score, start_word, end_word) of each document that holds an
     item, at its best place."""
@@ -225,7 +226,7 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                      item_text_col: str = "text", seed_words: int = 3, seed_span: int = 5, min_score: float = 0.5,
+                      item_text_col: str = "text", seed_words: int = 3, seed_span: int = 2, min_score: float = 0.5,
                       block_bytes: int = 2 << 20) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns. Rows pass
     the search of each block in turn and are never joined or moved."""
