@@ -61,3 +61,8 @@ def exact_mean(c: Column) -> Column:
     """Mean of a DECIMAL column as DOUBLE, from the exact decimal sum:
     identical in every engine, unlike a DOUBLE running average."""
     return F.sum(c).cast("double") / F.nullif(F.count(c), F.lit(0))
+
+
+def exact_price(c: Column | str) -> Column:
+    """A DOUBLE price as DECIMAL, so that a sum does not depend on row order."""
+    return _col(c).cast("decimal(18,4)")

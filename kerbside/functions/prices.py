@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 # The characters stripped from a text price.
 POUND = "£"
 THOUSANDS = ","
+NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -25,14 +26,20 @@ def _strip_pound_and_commas(c: Column) -> Column:
     return F.replace(F.replace(c.cast("string"), F.lit(POUND), F.lit("")), F.lit(THOUSANDS), F.lit(""))
 
 
+def _number(text: Column) -> Column:
+    """Text as a double, NULL unless all of it is a decimal number: the JVM's
+    parser also takes type suffixes such as '12d'."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def parse_price(c: Column | str, mode: str = "zero") -> Column:
     c = _col(c)
     if mode == "zero":
-        return F.coalesce(_strip_pound_and_commas(c).try_cast("double"), F.lit(0.0))
+        return F.coalesce(_number(_strip_pound_and_commas(c)), F.lit(0.0))
     if mode == "fail":
         # Raised explicitly, so the failure does not depend on ANSI mode.
         text = F.replace(c.cast("string"), F.lit(THOUSANDS), F.lit(""))
-        parsed = text.try_cast("double")
+        parsed = _number(text)
         return F.when(text.isNotNull() & parsed.isNull(),
                       F.raise_error(F.concat(F.lit("price is not a number: "), text)).cast("double")
                       ).otherwise(parsed)

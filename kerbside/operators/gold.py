@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.compliance import exact_mean, price_efficiency, vehicle_age
+from kerbside.functions.compliance import exact_mean, exact_price, price_efficiency, vehicle_age
 
 
 def _gap_percent(avg_compliant: Column, avg_non_compliant: Column) -> Column:
@@ -49,7 +49,7 @@ def diesel_devaluation(silver: DataFrame, top: int = 10) -> DataFrame:
 def diesel_devaluation_ranked(fact: DataFrame, top: int = 10) -> DataFrame:
     """A3 (warehouse): exact-case 'Diesel', at least one listing on each side,
     whole-pound rounded means, devaluation amount and percent, ASCENDING."""
-    flag, price = F.col("is_ulez_compliant"), F.col("price")
+    flag, price = F.col("is_ulez_compliant"), exact_price("price")
     stats = (fact.filter(F.col("fuel_type") == "Diesel")
                  .groupBy("brand", "model")
                  .agg(exact_mean(F.when(flag, price)).alias("c"),
@@ -74,7 +74,7 @@ def impact_summary(fact: DataFrame) -> DataFrame:
     age = F.col("vehicle_age") if "vehicle_age" in fact.columns else vehicle_age("year")
     agg = (fact.groupBy("brand", "year", "fuel_type", "is_ulez_compliant")
                .agg(F.count(F.lit(1)).alias("total_listings"),
-                    F.round(exact_mean(F.col("price")), 2).alias("avg_price"),
+                    F.round(exact_mean(exact_price("price")), 2).alias("avg_price"),
                     F.round(exact_mean(F.col("mileage")), 2).alias("avg_mileage"),
                     F.round(exact_mean(age), 1).alias("avg_age")))
     return agg.withColumn("price_efficiency", price_efficiency("avg_price", "avg_age"))

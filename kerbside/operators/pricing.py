@@ -1,13 +1,18 @@
 """Price model with per-row attributions (M6-M9).
 
-* M6: a hash split, so a row's side does not depend on partitioning.
-* M7: gradient-boosted trees (squared loss, 100 trees, depth 6, step 0.3).
+* M6: a split by the md5 of the row's key, so a row's side does not depend on
+  partitioning and any engine can repeat it.
+* M7: gradient-boosted trees (squared loss, 100 trees, depth 6, step 0.3). A
+  missing feature is filled with ``MISSING``, a value below every real one, so
+  a tree can send missing values their own way; only a missing label keeps a
+  row out of fitting and scoring.
 * M8: MAE and R^2 from one aggregate pass over the test predictions.
-* M9: exact Shapley values of the four features against a reference point
-  (the training means): the 16 coalition inputs are built as 16 vector
-  columns of the *same* row, scored by 16 chained ``transform`` calls (all
-  narrow, no shuffle, no join) and combined with the Shapley weights, so
-  contributions + base value = prediction for every row.
+* M9: exact Shapley values of the four features. The value of a coalition is
+  the model's mean prediction with the coalition's features from the row and
+  the others from each point of a background sample of training rows. The
+  coalition inputs are built as vector columns of the *same* row and scored by
+  chained ``transform`` calls (all narrow, no shuffle, no join), so
+  contributions + base value = prediction for every row, labelled or not.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.session import shared_dir, spread_for_iteration
+from kerbside.session import shared_dir
 
 # Model features, label, split share and seed, and the boosted
 # tree settings.
@@ -34,25 +39,35 @@ SEED = 42
 TREES = 100
 DEPTH = 6
 STEP = 0.3
+# Fill for a missing feature; the features are ages, distances, litres and a flag.
+MISSING = -1.0e6
+# Points of the background sample of M9.
+BACKGROUND = 3
+ROWS_PER_PARTITION = 2_000_000
 
 
 def split_train_test(df: DataFrame, train_share: int = TRAIN_SHARE, seed: int = SEED,
                      key: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """M6: ``pmod(hash(seed, key...), 100) < share`` -> train, else test.
-    Without ``key`` all columns form the key (equal rows go to one side)."""
-    cols = [F.col(c) for c in (key or df.columns)]
-    bucket = F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(100))
+    """M6: the first 32 bits of md5(seed|key...) modulo 100 < share -> train,
+    else test. Without ``key`` all columns form the key (equal rows go to one
+    side); NULL counts as an empty text."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key or df.columns)]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
     tagged = df.withColumn("__bucket", bucket)
     return (tagged.filter(F.col("__bucket") < train_share).drop("__bucket"),
             tagged.filter(F.col("__bucket") >= train_share).drop("__bucket"))
 
 
 def model_input(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL) -> DataFrame:
-    """Feature columns as doubles and the label; rows without a label or a
-    feature cannot be fitted and are left out."""
-    cols = {f"__x_{c}": F.col(c).cast("double") for c in features}
-    out = df.withColumns(cols).withColumn("__label", F.col(label).cast("double"))
-    return out.dropna(subset=["__label", *cols])
+    """All rows, with the features as doubles (missing ones filled) and the
+    label, which may be NULL."""
+    cols = {f"__x_{c}": F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in features}
+    return df.withColumns(cols).withColumn("__label", F.col(label).cast("double"))
+
+
+def labelled_input(df: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL) -> DataFrame:
+    return model_input(df, features, label).dropna(subset=["__label"])
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -62,9 +77,11 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 def train_price_model(train: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL,
                       trees: int = TREES, depth: int = DEPTH, step: float = STEP,
                       seed: int = SEED) -> GBTRegressionModel:
-    """M7."""
-    data = _assembler(features).transform(model_input(train, features, label)).select("features", "__label")
-    data = spread_for_iteration(data)
+    """M7. The fit is iterative, so its input is cached; it is dealt to at least
+    the task slots there are, more for more rows."""
+    data = _assembler(features).transform(labelled_input(train, features, label)).select("features", "__label")
+    slots = data.sparkSession.sparkContext.defaultParallelism
+    data = data.repartition(max(slots, -(-train.count() // ROWS_PER_PARTITION))).persist()
     # Boosting state is checkpointed to the shared folder every 10 trees, so a
     # lost executor costs at most 10 trees of lineage, not the whole run.
     shared_dir(data.sparkSession)
@@ -91,13 +108,6 @@ def score_regression(predictions: DataFrame, label: str = "__label", prediction:
                       .alias("r2"))
 
 
-def reference_point(train: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL) -> list[float]:
-    """Feature means over the training rows: one aggregate, one small row."""
-    data = model_input(train, features, label)
-    row = data.agg(*[F.avg(f"__x_{c}").alias(c) for c in features]).first()
-    return [float(row[c]) if row[c] is not None else 0.0 for c in features]
-
-
 def _mask_name(mask: int) -> str:
     return f"__p{mask}"
 
@@ -106,7 +116,7 @@ def background_points(train: DataFrame, n: int, features: Sequence[str] = FEATUR
                       seed: int = SEED) -> list[list[float]]:
     """``n`` training rows picked by hash order (a bounded top-n, stable
     across runs and partitionings) as a background sample for M9."""
-    data = model_input(train, features, label)
+    data = labelled_input(train, features, label)
     key = F.xxhash64(F.lit(seed), *[F.col(f"__x_{c}") for c in features], F.col("__label"))
     rows = data.orderBy(key).limit(n).select(*[f"__x_{c}" for c in features]).collect()
     return [[float(v) for v in r] for r in rows]
@@ -119,8 +129,7 @@ def price_attribution(model: GBTRegressionModel, rows: DataFrame,
     ``prediction``; additive by construction: sum(phi) + base_value ==
     prediction.
 
-    ``reference`` is one point (e.g. the training means) or a list of
-    background points; the value of a coalition S is the model's mean
+    ``reference`` is one point or a list of background points; the value of a coalition S is the model's mean
     prediction with the features in S taken from the row and the others
     from each background point. Cost: 2^4 x (number of points) narrow model
     passes over ``rows``; no join, no shuffle.
@@ -160,18 +169,25 @@ def price_attribution(model: GBTRegressionModel, rows: DataFrame,
 @dataclass
 class PriceModelRun:
     model: GBTRegressionModel
-    metrics: DataFrame
-    attributions: DataFrame
+    train: DataFrame
+    test: DataFrame
+    background: int
+    seed: int
+
+    @property
+    def metrics(self) -> DataFrame:
+        return score_regression(predict(self.model, self.test))
+
+    @property
+    def attributions(self) -> DataFrame:
+        """M9 for every test row, against the background sample."""
+        return price_attribution(self.model, self.test, background_points(self.train, self.background, seed=self.seed))
 
 
 def run_price_model(fact: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED,
-                    background: int = 0) -> PriceModelRun:
-    """M6-M9 on the warehouse fact (which has vehicle_age). ``background=0``
-    attributes against the training means; ``background=n`` against n
-    training rows."""
-    train, test = split_train_test(fact, seed=seed)
-    model = train_price_model(train, trees=trees, depth=depth, seed=seed)
-    metrics = score_regression(predict(model, test))
-    reference = background_points(train, background, seed=seed) if background else reference_point(train)
-    attributions = price_attribution(model, test, reference)
-    return PriceModelRun(model, metrics, attributions)
+                    background: int = BACKGROUND, key: Sequence[str] | None = None) -> PriceModelRun:
+    """M6-M9 on the warehouse fact (which has vehicle_age). Metrics and
+    attributions are planned when asked for. ``fact`` is read several times:
+    pass a written layer."""
+    train, test = split_train_test(fact, seed=seed, key=key)
+    return PriceModelRun(train_price_model(train, trees=trees, depth=depth, seed=seed), train, test, background, seed)

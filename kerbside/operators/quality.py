@@ -25,7 +25,7 @@ def check_unique_ids(silver: DataFrame) -> DataFrame:
     """Q1: rows that share a non-NULL id with another row (0 when unique)."""
     dup = (silver.filter(F.col("id").isNotNull()).groupBy("id").count()
                  .filter(F.col("count") > 1))
-    return dup.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("int").alias("error_count"))
+    return dup.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("error_count"))
 
 
 def _bad_price(c: Column) -> Column:
@@ -39,17 +39,17 @@ def _bad_logic() -> Column:
 
 def check_positive_price(silver: DataFrame) -> DataFrame:
     """Q2: rows with price <= 0 (NULL price not counted)."""
-    return silver.agg(F.count(F.when(_bad_price(F.col("price")), F.lit(1))).cast("int").alias("error_count"))
+    return silver.agg(F.count(F.when(_bad_price(F.col("price")), F.lit(1))).cast("bigint").alias("error_count"))
 
 
 def check_compliance_logic(silver: DataFrame) -> DataFrame:
     """Q3: diesel before 2015 flagged compliant (petrol is not checked)."""
-    return silver.agg(F.count(F.when(_bad_logic(), F.lit(1))).cast("int").alias("error_count"))
+    return silver.agg(F.count(F.when(_bad_logic(), F.lit(1))).cast("bigint").alias("error_count"))
 
 
 def check_metrics_complete(impact: DataFrame) -> DataFrame:
     """Q4: Gold impact rows with NULL percent_diff."""
-    return impact.agg(F.count(F.when(F.col("percent_diff").isNull(), F.lit(1))).cast("int").alias("error_count"))
+    return impact.agg(F.count(F.when(F.col("percent_diff").isNull(), F.lit(1))).cast("bigint").alias("error_count"))
 
 
 def _named(df: DataFrame, check: tuple[str, str]) -> DataFrame:
@@ -68,9 +68,9 @@ def quality_results(silver: DataFrame, impact: DataFrame | None = None,
         F.count(F.when(_bad_price(F.col("price")), F.lit(1))).alias("p"),
         F.count(F.when(_bad_logic(), F.lit(1))).alias("l"))
     totals = per_id.agg(
-        F.coalesce(F.sum(F.when(F.col("id").isNotNull() & (F.col("n") > 1), F.col("n"))), F.lit(0)).cast("int").alias("u"),
-        F.coalesce(F.sum("p"), F.lit(0)).cast("int").alias("p"),
-        F.coalesce(F.sum("l"), F.lit(0)).cast("int").alias("l"))
+        F.coalesce(F.sum(F.when(F.col("id").isNotNull() & (F.col("n") > 1), F.col("n"))), F.lit(0)).cast("bigint").alias("u"),
+        F.coalesce(F.sum("p"), F.lit(0)).cast("bigint").alias("p"),
+        F.coalesce(F.sum("l"), F.lit(0)).cast("bigint").alias("l"))
     row = lambda check, c: F.struct(F.lit(check[1]).alias("layer"), F.lit(check[0]).alias("check_name"),
                                     F.col(c).alias("error_count"))
     out = totals.select(F.inline(F.array(row(CHECK_UNIQUE, "u"), row(CHECK_PRICE, "p"), row(CHECK_LOGIC, "l"))))
@@ -96,6 +96,16 @@ def run_quality_checks(spark: SparkSession, silver: DataFrame | None, impact: Da
     return passed, append_audit(fresh, audit)
 
 
+def record_audit(fresh: DataFrame, path: str, keep: int = AUDIT_KEEP) -> DataFrame:
+    """K3 on storage: read the history, append, keep the newest, write it as a
+    new version of the layer, which readers see only when it is whole."""
+    from kerbside.sinks.layers import write_layer
+    from kerbside.sources.bronze import read_layer
+
+    history = read_layer(fresh.sparkSession, path, AUDIT)
+    return write_layer(append_audit(fresh, history, keep), path)
+
+
 def append_audit(fresh: DataFrame, history: DataFrame | None = None, keep: int = AUDIT_KEEP) -> DataFrame:
     """K3/T5: history + new records, newest ``keep`` rows kept."""
     both = fresh if history is None else history.unionByName(fresh)

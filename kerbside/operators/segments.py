@@ -1,9 +1,13 @@
 """Market segmentation.
 
-Scaling, K-means and the silhouette are Spark ML jobs over the cached
-feature table; only k centroids, costs and scores reach the driver. The
-reference's 10 random restarts per K become 10 seeds per K, the lowest
-training cost kept, and the fits run as concurrent Spark jobs.
+Scaling, K-means and the silhouette are Spark ML jobs; only k centroids,
+costs and scores reach the driver. The 10 random restarts per K are 10 seeds
+per K, the lowest training cost kept, and the fits run as concurrent Spark
+jobs. Fits read the *distinct* scaled points with their row counts as weights,
+which gives the cost of the rows themselves, however often a point repeats; the
+points are partitioned by value and sorted, so a result does not depend on how
+the input was split or on the cluster's size. Silhouettes read the rows, since
+a row's own weight counts in them.
 """
 
 from __future__ import annotations
@@ -20,13 +24,13 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbside.session import spread_for_iteration
-
-# Features, K range, restarts, seed, the small-data fallback,
-# and the cluster labels by ascending mean price.
+# Features, K range, restarts, iteration limit, tolerance, seed,
+# the small-data fallback, and the cluster labels by ascending mean price.
 FEATURES = ("PRICE", "MILEAGE", "YEAR")
 K_RANGE = tuple(range(2, 8))
 RESTARTS = 10
+MAX_ITER = 300
+TOLERANCE = 1e-4
 SEED = 42
 FALLBACK_K = 3
 CLUSTER_LABELS = ("Budget Entry", "Standard Market", "Premium Segment")
@@ -71,16 +75,31 @@ class KResult:
     model: KMeansModel
 
 
-def _fit(scaled: DataFrame, k: int, seed: int, max_iter: int, col: str) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=col, predictionCol="__cluster").fit(scaled)
+def weighted_points(scaled: DataFrame, features: Sequence[str] = FEATURES, col: str = "scaled",
+                    partitions: int | None = None) -> DataFrame:
+    """Distinct points (``col``) with the rows that have them (``weight``), for
+    the fits. Partial aggregation reduces a very common point to one row per
+    task before the shuffle; partitions follow from the row count alone."""
+    keys = [F.col(c).cast("double").alias(f"__k_{c}") for c in features]
+    points = (scaled.select(*keys, col).groupBy(*[f"__k_{c}" for c in features])
+              .agg(F.count(F.lit(1)).cast("double").alias("weight"), F.first(col).alias(col)))
+    if partitions is None:
+        partitions = max(1, -(-scaled.count() // ROWS_PER_PARTITION))
+    names = [f"__k_{c}" for c in features]
+    return points.repartition(partitions, *names).sortWithinPartitions(*names).select(col, "weight")
+
+
+def _fit(points: DataFrame, k: int, seed: int, max_iter: int, col: str) -> KMeansModel:
+    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=TOLERANCE, featuresCol=col, weightCol="weight",
+                  predictionCol="__cluster").fit(points)
 
 
-def _best_of_restarts(scaled: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int,
-                      col: str, parallel_fits: int = 8) -> dict[int, KMeansModel]:
+def _best_of_restarts(points: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int,
+                      col: str, parallel_fits: int = PARALLEL_FITS) -> dict[int, KMeansModel]:
     """For each K, the lowest-cost model of ``restarts`` seeds. All (K, seed)
     fits are submitted at once, so small jobs from different fits overlap."""
     grid = [(k, seed + i) for k in ks for i in range(restarts)]
-    fit = inheritable_thread_target(scaled.sparkSession)(lambda ks_: _fit(scaled, ks_[0], ks_[1], max_iter, col))
+    fit = inheritable_thread_target(points.sparkSession)(lambda ks_: _fit(points, ks_[0], ks_[1], max_iter, col))
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
         models = list(pool.map(fit, grid))
     best: dict[int, KMeansModel] = {}
@@ -90,27 +109,34 @@ def _best_of_restarts(scaled: DataFrame, ks: Sequence[int], restarts: int, seed:
     return best
 
 
-def select_k(scaled: DataFrame, k_range: Sequence[int] = K_RANGE, restarts: int = RESTARTS, seed: int = SEED,
-             max_iter: int = 20, col: str = "scaled", parallel_fits: int = 8,
-             n: int | None = None) -> tuple[int, list[KResult]]:
-    """M2: the K with the highest silhouette (first K on ties). Fewer rows than
-    max(k_range) -> K=3 (capped by the distinct rows); a K the data cannot
-    support (K >= distinct rows) is skipped."""
-    n = scaled.count() if n is None else n
-    distinct = scaled.select(col).distinct().count() if n < 10 * max(k_range) else n
-    if n < max(k_range):
-        return max(1, min(FALLBACK_K, distinct)), []
-    ks = [k for k in k_range if k < distinct]
-    if not ks:
-        return max(1, min(FALLBACK_K, distinct)), []
-    best = _best_of_restarts(scaled, ks, restarts, seed, max_iter, col, parallel_fits)
-    evaluator = ClusteringEvaluator(featuresCol=col, predictionCol="__cluster")
-    score = inheritable_thread_target(scaled.sparkSession)(lambda k: evaluator.evaluate(best[k].transform(scaled)))
+def _silhouette(model: KMeansModel, scaled: DataFrame, col: str) -> float | None:
+    """The model's silhouette; None where it fills fewer than two clusters."""
+    if sum(1 for size in model.summary.clusterSizes if size) < 2:
+        return None
+    return ClusteringEvaluator(featuresCol=col, predictionCol="__cluster").evaluate(model.transform(scaled.select(col)))
+
+
+def select_k(scaled: DataFrame, points: DataFrame | None = None, k_range: Sequence[int] = K_RANGE,
+             restarts: int = RESTARTS, seed: int = SEED, max_iter: int = MAX_ITER, col: str = "scaled",
+             parallel_fits: int = PARALLEL_FITS) -> tuple[int, list[KResult]]:
+    """M2: the K with the highest silhouette (first K on ties). ``points`` are
+    the rows' ``weighted_points``, if the caller has them. One rule at every size: K needs as many distinct
+    points and fewer K than rows. Fewer rows than max(k_range), or no K with
+    two filled clusters -> K=3, or the number of distinct points if lower."""
+    points = weighted_points(scaled) if points is None else points
+    distinct, n = points.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+    fallback = max(1, min(FALLBACK_K, distinct))
+    ks = [k for k in k_range if k <= distinct and k < n]
+    if n < max(k_range) or not ks:
+        return fallback, []
+    best = _best_of_restarts(points, ks, restarts, seed, max_iter, col, parallel_fits)
+    score = inheritable_thread_target(points.sparkSession)(lambda k: _silhouette(best[k], scaled, col))
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
-        sils = list(pool.map(score, ks))
-    results = [KResult(k, s, best[k].summary.trainingCost, best[k]) for k, s in zip(ks, sils)]
-    top = max(results, key=lambda r: (r.silhouette, -r.k))
-    return top.k, results
+        scores = list(pool.map(score, ks))
+    results = [KResult(k, s, best[k].summary.trainingCost, best[k]) for k, s in zip(ks, scores) if s is not None]
+    if not results:
+        return fallback, []
+    return max(results, key=lambda r: (r.silhouette, -r.k)).k, results
 
 
 def k_report(spark: SparkSession, results: Sequence[KResult]) -> DataFrame:
@@ -140,9 +166,8 @@ def rank_clusters(profile: DataFrame) -> DataFrame:
 
 def name_clusters(clustered: DataFrame, labels: DataFrame) -> DataFrame:
     """M4: label + ' (Compliant)' / ' (Non-Compliant)'; an id without a label
-    is 'Unknown'. ``labels`` holds one row per cluster (k <= 7), so the join
-    broadcasts a side of proven size."""
-    joined = clustered.join(F.broadcast(labels), "CLUSTER_ID", "left")
+    is 'Unknown'. AQE broadcasts ``labels`` if its measured size is small."""
+    joined = clustered.join(labels, "CLUSTER_ID", "left")
     suffix = F.when(F.col("IS_ULEZ_COMPLIANT"), F.lit("(Compliant)")).otherwise(F.lit("(Non-Compliant)"))
     name = F.concat_ws(" ", F.coalesce(F.col("CLUSTER_LABEL"), F.lit("Unknown")), suffix)
     return joined.withColumn("CLUSTER_NAME", name).drop("CLUSTER_LABEL")
@@ -157,38 +182,33 @@ class Segmentation:
 
 
 def segment_market(spark: SparkSession, silver: DataFrame, k: int | None = None, restarts: int = RESTARTS,
-                   seed: int = SEED, max_iter: int = 20, name: bool = True) -> Segmentation:
-    """M3 (k=None: choose K by M2, reusing its winning model) or M5 (fixed
-    k, constant cluster name). Output: upper-cased Silver columns +
-    CLUSTER_ID, CLUSTER_NAME."""
+                   seed: int = SEED, max_iter: int = MAX_ITER, name: bool = True) -> Segmentation:
+    """M3 (k=None: choose K by M2, reusing its winning model and score) or M5
+    (fixed k, constant cluster name). Output: upper-cased Silver columns +
+    CLUSTER_ID, CLUSTER_NAME. ``silver`` is read several times: pass a written
+    layer rather than a plan that is costly to repeat."""
     feats = feature_table(silver)
     scaled, _ = scale_features(feats)
-    rows = feats.count()
-    # Fits and silhouettes scan only the scaled vectors: cache just that
-    # column, ~2M rows per partition, but no fewer partitions than task slots
-    # per concurrent fit (many small fits run side by side).
-    slots = spark.sparkContext.defaultParallelism
-    parts = max(-(-rows // ROWS_PER_PARTITION), max(1, slots // PARALLEL_FITS))
-    train = spread_for_iteration(scaled.select("scaled"), parts)
-    report = None
-    if k is None:
-        k, results = select_k(train, restarts=restarts, seed=seed, max_iter=max_iter,
-                              parallel_fits=PARALLEL_FITS, n=rows)
-        chosen = next((r.model for r in results if r.k == k), None)
-        report = k_report(spark, results) if results else None
-    else:
-        chosen = None
-    silhouette = None
-    if k < 2:
-        # One distinct point: K-means needs k >= 2, everything is cluster 0.
-        assigned = scaled.withColumn("__cluster", F.lit(0))
-    else:
-        if chosen is None:
-            chosen = _best_of_restarts(train, [k], restarts, seed, max_iter, "scaled", PARALLEL_FITS)[k]
-        silhouette = ClusteringEvaluator(featuresCol="scaled", predictionCol="__cluster").evaluate(
-            chosen.transform(train))
-        assigned = chosen.transform(scaled)
-    train.unpersist()
+    vectors = scaled.select("scaled", *FEATURES).persist()
+    points = weighted_points(vectors).persist()
+    report = silhouette = None
+    try:
+        if k is None:
+            k, results = select_k(vectors, points, restarts=restarts, seed=seed, max_iter=max_iter)
+            won = next((r for r in results if r.k == k), None)
+            report = k_report(spark, results) if results else None
+        else:
+            k, won = max(1, min(k, points.count())), None
+        if k < 2:
+            # K-means needs two distinct points: everything is cluster 0.
+            assigned = scaled.withColumn("__cluster", F.lit(0))
+        else:
+            model = won.model if won else _best_of_restarts(points, [k], restarts, seed, max_iter, "scaled")[k]
+            silhouette = won.silhouette if won else _silhouette(model, vectors, "scaled")
+            assigned = model.transform(scaled)
+    finally:
+        points.unpersist()
+        vectors.unpersist()
     out = assigned.withColumn("CLUSTER_ID", F.col("__cluster").cast("int")).drop("__cluster", "scaled")
     if name:
         out = name_clusters(out, rank_clusters(cluster_profile(out)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Display names used by the dashboard tables.
+# Display names and column lists of the dashboard tables.
 AUDIT_DISPLAY = {"check_timestamp": "Timestamp", "layer": "Layer", "check_name": "Check Name",
                  "status": "Status", "error_count": "Failures"}
 DIESEL_DISPLAY = {"brand": "Brand", "model": "Model", "avg_price_compliant": "Compliant Avg Price",

@@ -74,6 +74,13 @@ def silver_candidates(bronze: DataFrame, tie_breakers: Sequence[str] = (), rule:
     return clean_listings(staged, rule=rule, stamp=stamp), list(renamed.values())
 
 
+def silver_state(bronze: DataFrame, tie_breakers: Sequence[str] = (), rule: str = "strict", stamp: bool = True) -> DataFrame:
+    """Silver with its dedup order columns (``__tb_*``) beside it: what a later
+    batch is ranked against in an incremental run."""
+    df, order = silver_candidates(bronze, tie_breakers, rule, stamp)
+    return dedup_latest(df, "id", order).select(*silver_columns(stamp), *order)
+
+
 def silver_columns(stamp: bool = True) -> list[str]:
     return [c for c in SILVER_COLUMNS if stamp or c != "processed_at"]
 
@@ -88,5 +95,5 @@ def build_silver(bronze: DataFrame, tie_breakers: Sequence[str] = (), rule: str
 def guard_nonempty(df: DataFrame, what: str = "Silver") -> DataFrame:
     """Q6: abort when a layer came out empty (one cheap LIMIT 1 job)."""
     if df.isEmpty():
-        raise ValueError(f"{what} layer produced 0 rows")
+        raise ValueError(f"{what} has no rows; later layers are not built")
     return df

@@ -107,11 +107,10 @@ def listing_feed_rows(raw: DataFrame, as_of_year: int = AS_OF_YEAR, only_inserts
     """G2 body / J1 projection: API rows -> fact rows. The title becomes the
     model, text prices parse to whole pounds or NULL, tax and mpg stay NULL."""
     rows = inserts_only(raw) if only_inserts and "action" in raw.columns else raw
+    rows = migrate_title_as_model(rows)
     price = parse_price("price", "null")
     out = rows.select(
-        "brand",
-        F.col("title").alias("model"),
-        "year",
+        "brand", "model", "year",
         price.cast("double").alias("price"),
         "transmission", "mileage",
         F.col("fuelType").alias("fuel_type"),

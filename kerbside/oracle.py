@@ -7,6 +7,9 @@ through the same derived views the Spark side builds in
 
 from __future__ import annotations
 
+# The thresholds, fuel names, casts, mart formulas and display names in these
+# strings are fixed values: the rules under test.
+
 LISTINGS_RAW = """
 listings_raw AS (
   SELECT CAST(l_orderkey AS VARCHAR(20)) AS id,
@@ -144,8 +147,8 @@ MEAN = "CAST(SUM({x}) AS DOUBLE) / NULLIF(COUNT({x}), 0)"
 ORACLE["diesel_devaluation_ranked"] = "WITH " + FACT + f""",
 stats AS (
   SELECT brand, model,
-         {MEAN.format(x="CASE WHEN is_ulez_compliant THEN price END")} AS c,
-         {MEAN.format(x="CASE WHEN NOT is_ulez_compliant THEN price END")} AS nc
+         {MEAN.format(x="CASE WHEN is_ulez_compliant THEN CAST(price AS DECIMAL(18,4)) END")} AS c,
+         {MEAN.format(x="CASE WHEN NOT is_ulez_compliant THEN CAST(price AS DECIMAL(18,4)) END")} AS nc
   FROM fact WHERE fuel_type = 'Diesel'
   GROUP BY brand, model
   HAVING COUNT(CASE WHEN is_ulez_compliant THEN 1 END) >= 1
@@ -161,7 +164,7 @@ LIMIT 10"""
 IMPACT_SUMMARY = f"""
   SELECT brand, year, fuel_type, is_ulez_compliant,
          COUNT(*) AS total_listings,
-         round({MEAN.format(x="price")}, 2) AS avg_price,
+         round({MEAN.format(x="CAST(price AS DECIMAL(18,4))")}, 2) AS avg_price,
          round({MEAN.format(x="mileage")}, 2) AS avg_mileage,
          round({MEAN.format(x="vehicle_age")}, 1) AS avg_age
   FROM fact GROUP BY brand, year, fuel_type, is_ulez_compliant"""
@@ -254,29 +257,29 @@ ORACLE["diesel_display"] = ("SELECT brand AS \"Brand\", model AS \"Model\", avg_
 
 # --- data quality -------------------------------------------------------------
 
-Q1_RAW = """SELECT CAST(COALESCE(SUM(n), 0) AS INT) AS error_count FROM (
+Q1_RAW = """SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS error_count FROM (
   SELECT id, COUNT(*) AS n FROM listings_raw WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1)"""
 ORACLE["check_unique_ids"] = "WITH " + LISTINGS_RAW + "\n" + Q1_RAW
 ORACLE["check_positive_price"] = "WITH " + SILVER + """
-SELECT CAST(COUNT(CASE WHEN price <= 0 THEN 1 END) AS INT) AS error_count FROM silver"""
-Q3 = """SELECT CAST(COUNT(CASE WHEN fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant = TRUE THEN 1 END) AS INT)
+SELECT CAST(COUNT(CASE WHEN price <= 0 THEN 1 END) AS BIGINT) AS error_count FROM silver"""
+Q3 = """SELECT CAST(COUNT(CASE WHEN fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant = TRUE THEN 1 END) AS BIGINT)
          AS error_count FROM silver"""
 ORACLE["check_compliance_logic"] = "WITH " + SILVER + "\n" + Q3
 ORACLE["check_metrics_complete"] = "WITH " + MARKET_IMPACT + """
-SELECT CAST(COUNT(CASE WHEN percent_diff IS NULL THEN 1 END) AS INT) AS error_count FROM impact"""
+SELECT CAST(COUNT(CASE WHEN percent_diff IS NULL THEN 1 END) AS BIGINT) AS error_count FROM impact"""
 
 ORACLE["run_quality_checks"] = "WITH " + MARKET_IMPACT + """,
 checks AS (
   SELECT 'SILVER' AS layer, 'Unique IDs' AS check_name,
          CAST(COALESCE((SELECT SUM(n) FROM (SELECT COUNT(*) AS n FROM silver WHERE id IS NOT NULL
-                                             GROUP BY id HAVING COUNT(*) > 1)), 0) AS INT) AS error_count
+                                             GROUP BY id HAVING COUNT(*) > 1)), 0) AS BIGINT) AS error_count
   UNION ALL
-  SELECT 'SILVER', 'Price Accuracy', CAST((SELECT COUNT(*) FROM silver WHERE price <= 0) AS INT)
+  SELECT 'SILVER', 'Price Accuracy', CAST((SELECT COUNT(*) FROM silver WHERE price <= 0) AS BIGINT)
   UNION ALL
   SELECT 'SILVER', 'ULEZ Logic Integrity',
-         CAST((SELECT COUNT(*) FROM silver WHERE fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant) AS INT)
+         CAST((SELECT COUNT(*) FROM silver WHERE fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant) AS BIGINT)
   UNION ALL
-  SELECT 'GOLD', 'Metrics Completeness', CAST((SELECT COUNT(*) FROM impact WHERE percent_diff IS NULL) AS INT)
+  SELECT 'GOLD', 'Metrics Completeness', CAST((SELECT COUNT(*) FROM impact WHERE percent_diff IS NULL) AS BIGINT)
 )
 SELECT layer, check_name, CASE WHEN error_count > 0 THEN 'FAIL' ELSE 'PASS' END AS status, error_count FROM checks"""
 
@@ -423,3 +426,105 @@ FROM f JOIN lab USING (cid)"""
 
 ORACLE["latest_audit"] = ('SELECT layer AS "Layer", check_name AS "Check Name", status AS "Status", '
                           'error_count AS "Failures" FROM (' + ORACLE["run_quality_checks"] + ")")
+
+# --- checks that can fail, audit history, layers --------------------------------
+
+SEEDED = SILVER + """,
+faulty AS (
+  SELECT id, brand, model, year, CAST(CASE WHEN mileage % 14000 = 0 THEN -price ELSE price END AS DECIMAL(10,2)) AS price,
+         mileage, fuel_type, engine_size, transmission,
+         is_ulez_compliant OR (fuel_type = 'diesel' AND mileage % 6000 = 0) AS is_ulez_compliant
+  FROM silver),
+seeded AS (
+  SELECT * FROM faulty UNION ALL SELECT * FROM faulty WHERE mileage % 22000 = 0)"""
+
+ORACLE["check_positive_price_seeded"] = "WITH " + SEEDED + """
+SELECT COUNT(*) AS error_count FROM seeded WHERE price <= 0"""
+ORACLE["check_compliance_logic_seeded"] = "WITH " + SEEDED + """
+SELECT COUNT(*) AS error_count FROM seeded WHERE fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant"""
+ORACLE["run_quality_checks_seeded"] = "WITH " + SEEDED + f""",
+sides AS (
+  SELECT brand, {EXACT_C} AS c, {EXACT_NC} AS nc FROM seeded WHERE brand <> 'UNKNOWN' OR is_ulez_compliant GROUP BY brand),
+checks AS (
+  SELECT 'SILVER' AS layer, 'Unique IDs' AS check_name,
+         CAST((SELECT COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM seeded WHERE id IS NOT NULL
+                                                 GROUP BY id HAVING COUNT(*) > 1)) AS BIGINT) AS error_count
+  UNION ALL
+  SELECT 'SILVER', 'Price Accuracy', (SELECT COUNT(*) FROM seeded WHERE price <= 0)
+  UNION ALL
+  SELECT 'SILVER', 'ULEZ Logic Integrity',
+         (SELECT COUNT(*) FROM seeded WHERE fuel_type = 'diesel' AND year < 2015 AND is_ulez_compliant)
+  UNION ALL
+  SELECT 'GOLD', 'Metrics Completeness',
+         (SELECT COUNT(*) FROM sides WHERE round((nc - c) / NULLIF(c, 0) * 100, 1) IS NULL)
+)
+SELECT layer, check_name, CASE WHEN error_count > 0 THEN 'FAIL' ELSE 'PASS' END AS status, error_count FROM checks"""
+
+ORACLE["record_audit"] = """
+SELECT strftime(DATE '2024-01-01' + CAST(d AS INT), '%Y-%m-%d') AS day, layer, check_name, status, error_count
+FROM (""" + ORACLE["run_quality_checks_seeded"] + """), (SELECT unnest(range(0, 27)) AS d)
+ORDER BY d DESC, check_name LIMIT 100"""
+
+ORACLE["refresh_silver"] = ORACLE["silver_listings"]
+
+ORACLE["cluster_distribution_fixed"] = ('SELECT "CLUSTER_NAME", COUNT(*) AS "count" FROM ('
+                                        + ORACLE["name_clusters"] + ') GROUP BY "CLUSTER_NAME"')
+ORACLE["cluster_profile_fixed"] = "WITH " + SILVER + """
+SELECT CAST(floor(mileage / 25000) AS INT) AS "CLUSTER_ID", COUNT(*) AS n, round(AVG(CAST(price AS DOUBLE)), 4) AS mean_price,
+       round(AVG(CAST(mileage AS DOUBLE)), 4) AS mean_mileage, round(AVG(CAST(year AS DOUBLE)), 4) AS mean_year
+FROM silver WHERE price IS NOT NULL AND mileage IS NOT NULL AND year IS NOT NULL
+GROUP BY 1"""
+ORACLE["cluster_scatter"] = "WITH " + FIXED_CLUSTERS + """
+SELECT s.mileage AS "MILEAGE", s.price AS "PRICE",
+       lab.label || ' ' || CASE WHEN s.is_ulez_compliant THEN '(Compliant)' ELSE '(Non-Compliant)' END AS "CLUSTER_NAME",
+       s.brand AS "BRAND", s.model AS "MODEL", s.year AS "YEAR"
+FROM silver s JOIN lab ON lab.cid = CAST(floor(s.mileage / 25000) AS INT)
+WHERE s.price IS NOT NULL AND s.mileage IS NOT NULL AND s.year IS NOT NULL"""
+
+ORACLE["read_layer"] = ORACLE["silver_listings"]
+ORACLE["save_clusters_table"] = "WITH " + FIXED_CLUSTERS + '\nSELECT id AS "ID", cid AS "CLUSTER_ID" FROM f'
+ORACLE["materialize"] = ORACLE["run_warehouse_models"]
+ORACLE["evolve_schema"] = "WITH " + MERC_RAW + """
+SELECT CAST(NULL AS VARCHAR) AS brand, model, year, CAST(price AS DOUBLE) AS price, CAST(NULL AS VARCHAR) AS transmission, mileage,
+       CAST(NULL AS VARCHAR) AS fuel_type, CAST(NULL AS INT) AS tax, CAST(NULL AS DOUBLE) AS mpg,
+       CAST(NULL AS DOUBLE) AS engine_size, CAST(NULL AS BOOLEAN) AS is_ulez_compliant,
+       CAST(NULL AS INT) AS vehicle_age, CAST(NULL AS DOUBLE) AS price_per_mile
+FROM merc_raw"""
+ORACLE["run_segmentation"] = "WITH " + SILVER + """
+SELECT id AS "ID", brand AS "BRAND", price AS "PRICE", is_ulez_compliant AS "IS_ULEZ_COMPLIANT", TRUE AS "NAMED"
+FROM silver WHERE price IS NOT NULL AND mileage IS NOT NULL AND year IS NOT NULL"""
+ORACLE["run_medallion_outputs"] = ("SELECT 'silver' AS layer, id AS key, brand, CAST(price AS DOUBLE) AS value FROM ("
+                                   + ORACLE["silver_listings"] + ") UNION ALL SELECT 'impact', NULL, brand, percent_diff FROM ("
+                                   + ORACLE["market_impact"] + ") UNION ALL SELECT 'diesel', model, brand, devaluation_percent FROM ("
+                                   + ORACLE["diesel_devaluation"] + ")")
+
+# --- machine learning: splits, scores, and what must hold of a real run ---------
+
+_KEY = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in ("brand", "model", "year", "mileage", "transmission", "fuel_type"))
+_SIDE = f"CAST('0x' || substr(md5(concat_ws('|', '42', {_KEY})), 1, 8) AS BIGINT) % 100"
+ORACLE["split_train_test"] = "WITH " + FACT + f"\nSELECT *, CASE WHEN {_SIDE} < 80 THEN 'train' ELSE 'test' END AS side FROM fact"
+ORACLE["price_attribution_totals"] = "WITH " + FACT + f"""
+SELECT COUNT(*) AS n_rows, COUNT(price) AS n_labelled, COUNT(*) AS n_additive FROM fact WHERE {_SIDE} >= 80"""
+ORACLE["score_regression"] = "WITH " + FACT + """
+SELECT COUNT(price) AS n, round(AVG(abs(price - p)), 4) AS mae,
+       round(1 - SUM((price - p) * (price - p)) / NULLIF(VAR_POP(price) * COUNT(price), 0), 6) AS r2
+FROM (SELECT price, CAST(90000.0 AS DOUBLE) - CAST(1000.0 AS DOUBLE) * vehicle_age AS p FROM fact)"""
+
+_FEATURED = SILVER + """,
+f AS (SELECT *, CAST(price AS DOUBLE) AS x, CAST(mileage AS DOUBLE) AS y, CAST(year AS DOUBLE) AS z FROM silver
+      WHERE price IS NOT NULL AND mileage IS NOT NULL AND year IS NOT NULL)"""
+ORACLE["scale_features_rounded"] = "WITH " + _FEATURED + """,
+m AS (SELECT AVG(x) AS ax, STDDEV_SAMP(x) AS sx, AVG(y) AS ay, STDDEV_SAMP(y) AS sy, AVG(z) AS az, STDDEV_SAMP(z) AS sz FROM f)
+SELECT id AS "ID", round((x - ax) / sx, 5) AS "PRICE_Z", round((y - ay) / sy, 5) AS "MILEAGE_Z",
+       round((z - az) / sz, 5) AS "YEAR_Z" FROM f, m"""
+ORACLE["segment_market_totals"] = "WITH " + _FEATURED + """
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT id) AS n_ids, CAST(0 AS BIGINT) AS n_bad_suffixes, CAST(0 AS BIGINT) AS n_unnamed,
+       CAST(0 AS BIGINT) AS n_unused_ids, CAST(0 AS BIGINT) AS n_bad_ids FROM f"""
+ORACLE["segment_market_fixed_k_totals"] = "WITH " + _FEATURED + """
+SELECT COUNT(*) AS n_rows, CAST(3 AS BIGINT) AS n_clusters, CAST(1 AS BIGINT) AS n_names, CAST(0 AS BIGINT) AS n_unused_ids,
+       CAST(0 AS BIGINT) AS n_bad_ids FROM f"""
+# Every K from 2 to 7 that has as many distinct points and fewer than there are rows.
+ORACLE["select_k_totals"] = "WITH " + _FEATURED + """,
+n AS (SELECT COUNT(*) AS rows_, (SELECT COUNT(*) FROM (SELECT DISTINCT x, y, z FROM f)) AS points FROM f)
+SELECT COUNT(*) AS n_ks, CAST(SUM(k) AS BIGINT) AS sum_ks, CAST(0 AS BIGINT) AS n_bad_scores
+FROM (SELECT unnest(range(2, 8)) AS k), n WHERE k <= points AND k < rows_"""

@@ -18,10 +18,11 @@ from kerbside.operators import gold, governance, pricing, quality, segments, ser
 from kerbside.operators import warehouse as wh
 from kerbside.plans import medallion, warehouse_models
 from kerbside.operators.dedup import dedup_latest
-from kerbside.operators.silver import build_silver
+from kerbside.operators.silver import build_silver, silver_columns, silver_state
 from kerbside.functions.prices import parse_price
-from kerbside.session import scratch_path, shared_dir
-from kerbside.schemas import API_RAW
+from kerbside.session import scratch_path
+from kerbside.schemas import API_RAW, SILVER, WAREHOUSE_FACT
+from kerbside.sinks.layers import materialize, save_clusters_table, write_layer
 from kerbside.sources import bronze, documents
 from kerbside.sources import warehouse as wsrc
 from kerbside.sources import fixtures as fx
@@ -43,11 +44,10 @@ def silver(spark: SparkSession, sf_dir: str, stamp: bool = False) -> DataFrame:
 
 
 def shared_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver for queries that read it more than once (checks and marts):
-    written once to the shared checkpoint folder and read back by each
-    branch, as the medallion pipeline does with its Silver layer."""
-    shared_dir(spark)
-    return silver(spark, sf_dir).checkpoint(eager=True)
+    """Silver for queries that read it more than once (checks, marts, model
+    fits): written once as parquet to the shared folder, so each reader scans
+    only its columns and the dedup is not repeated."""
+    return write_layer(silver(spark, sf_dir), scratch_path(spark, "silver"))
 
 
 @register("silver_listings")
@@ -245,17 +245,23 @@ def q_read_bronze_union(spark, sf_dir):
     return bronze.read_bronze_union(spark, [a, b], keep_extra=ties).drop("ingestion_timestamp")
 
 
+# The Mercedes feed's raw rows are a projection of lineitem here.
+LINEITEM_FEED = {"glob": "lineitem.parquet", "raw": fx.project_merc}
+
+
 @register("stream_brand_feed")
 def q_stream_brand_feed(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "merc-feed"), scratch_path(spark, "merc-feed-ckpt")
-    feeds.stream_brand_feed(spark, sf_dir, sink, ckpt)
+    feeds.stream_brand_feed(spark, sf_dir, sink, ckpt, **LINEITEM_FEED)
     return spark.read.parquet(sink)
 
 
 @register("stream_listing_feed")
 def q_stream_listing_feed(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "listing-feed"), scratch_path(spark, "listing-feed-ckpt")
-    feeds.stream_listing_feed(spark, sf_dir, sink, ckpt, part=fx.table(spark, sf_dir, "part"))
+    part = fx.table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name", "p_size")
+    feeds.stream_listing_feed(spark, sf_dir, sink, ckpt, glob="lineitem.parquet", raw=lambda lines: fx.project_api_listing(
+        lines.join(part, lines["l_partkey"] == part["p_partkey"])))
     return spark.read.parquet(sink)
 
 
@@ -274,45 +280,117 @@ def q_scale_features(spark, sf_dir):
 
 @register("segment_market")
 def q_segment_market(spark, sf_dir):
-    return segments.segment_market(spark, silver(spark, sf_dir)).clusters
+    return segments.segment_market(spark, shared_silver(spark, sf_dir)).clusters
 
 
 @register("select_k")
 def q_select_k(spark, sf_dir):
-    seg = segments.segment_market(spark, silver(spark, sf_dir))
+    seg = segments.segment_market(spark, shared_silver(spark, sf_dir))
     return seg.report if seg.report is not None else segments.k_report(spark, [])
 
 
 @register("segment_market_fixed_k")
 def q_segment_market_fixed_k(spark, sf_dir):
-    s = silver(spark, sf_dir).select("brand", "model", "year", "price", "mileage", "is_ulez_compliant")
+    s = shared_silver(spark, sf_dir).select("brand", "model", "year", "price", "mileage", "is_ulez_compliant")
     return segments.segment_market(spark, segments.drop_incomplete(s), k=3, name=False).clusters
 
 
 @register("cluster_distribution")
 def q_cluster_distribution(spark, sf_dir):
-    return segments.cluster_distribution(segments.segment_market(spark, silver(spark, sf_dir)).clusters)
+    return segments.cluster_distribution(segments.segment_market(spark, shared_silver(spark, sf_dir)).clusters)
 
 
 @register("cluster_profile")
 def q_cluster_profile(spark, sf_dir):
-    return segments.cluster_profile(segments.segment_market(spark, silver(spark, sf_dir)).clusters)
+    return segments.cluster_profile(segments.segment_market(spark, shared_silver(spark, sf_dir)).clusters)
+
+
+# Columns that name a listing; the split hashes them, so SQL can repeat it.
+SPLIT_KEY = ("brand", "model", "year", "mileage", "transmission", "fuel_type")
+
+
+def shared_fact(spark, sf_dir):
+    """The warehouse fact, written once: the model and its scores read it again and again."""
+    return write_layer(warehouse_fact(spark, sf_dir), scratch_path(spark, "fact"))
 
 
 @register("split_train_test")
 def q_split_train_test(spark, sf_dir):
-    train, test = pricing.split_train_test(warehouse_fact(spark, sf_dir))
+    train, test = pricing.split_train_test(warehouse_fact(spark, sf_dir), key=SPLIT_KEY)
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
 
 
 @register("price_model_metrics")
 def q_price_model_metrics(spark, sf_dir):
-    return pricing.run_price_model(warehouse_fact(spark, sf_dir)).metrics
+    return pricing.run_price_model(shared_fact(spark, sf_dir), key=SPLIT_KEY).metrics
 
 
 @register("price_attribution")
 def q_price_attribution(spark, sf_dir):
-    return pricing.run_price_model(warehouse_fact(spark, sf_dir)).attributions
+    return pricing.run_price_model(shared_fact(spark, sf_dir), key=SPLIT_KEY).attributions
+
+
+@register("price_attribution_totals")
+def q_price_attribution_totals(spark, sf_dir):
+    """Every test row, labelled or not, is attributed, and its contributions
+    and base value add up to its prediction (fewer trees than the model's)."""
+    run = pricing.run_price_model(shared_fact(spark, sf_dir), trees=5, depth=4, background=2, key=SPLIT_KEY)
+    total = F.col("base_value")
+    for f in pricing.FEATURES:
+        total = total + F.col(f"phi_{f}")
+    return run.attributions.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("price").alias("n_labelled"),
+        F.count(F.when(F.abs(total - F.col("prediction")) < 1e-6, 1)).alias("n_additive"))
+
+
+@register("score_regression")
+def q_score_regression(spark, sf_dir):
+    """M8 over predictions from a fixed formula."""
+    fact = warehouse_fact(spark, sf_dir)
+    predicted = fact.select(F.col("price").alias("__label"), (F.lit(90000.0) - 1000.0 * F.col("vehicle_age")).alias("prediction"))
+    scored = pricing.score_regression(predicted)
+    return scored.select("n", F.round("mae", 4).alias("mae"), F.round("r2", 6).alias("r2"))
+
+
+@register("scale_features_rounded")
+def q_scale_features_rounded(spark, sf_dir):
+    scaled, _ = segments.scale_features(segments.feature_table(silver(spark, sf_dir)))
+    z = vector_to_array("scaled")
+    return scaled.select("ID", *[F.round(z[i], 5).alias(f"{c}_Z") for i, c in enumerate(segments.FEATURES)])
+
+
+def _segment_totals(clusters: DataFrame, cols) -> DataFrame:
+    """What must hold of a real run: all rows, each id once, cluster ids 0..k-1 all used."""
+    return clusters.agg(F.count(F.lit(1)).alias("n_rows"), *cols,
+                        (F.max("CLUSTER_ID") - F.count_distinct("CLUSTER_ID") + 1).cast("bigint").alias("n_unused_ids"),
+                        F.count(F.when(F.col("CLUSTER_ID").isNull() | (F.col("CLUSTER_ID") < 0), 1)).alias("n_bad_ids"))
+
+
+@register("segment_market_totals")
+def q_segment_market_totals(spark, sf_dir):
+    clusters = segments.segment_market(spark, shared_silver(spark, sf_dir), restarts=2).clusters
+    ends = F.when(F.col("IS_ULEZ_COMPLIANT"), " (Compliant)").otherwise(" (Non-Compliant)")
+    suffix = F.when(~F.col("CLUSTER_NAME").endswith(ends), 1)
+    return _segment_totals(clusters, [
+        F.count_distinct("ID").alias("n_ids"), F.count(suffix).alias("n_bad_suffixes"),
+        F.count(F.when(F.col("CLUSTER_NAME").startswith("Unknown"), 1)).alias("n_unnamed")])
+
+
+@register("segment_market_fixed_k_totals")
+def q_segment_market_fixed_k_totals(spark, sf_dir):
+    s = shared_silver(spark, sf_dir).select("brand", "model", "year", "price", "mileage", "is_ulez_compliant")
+    clusters = segments.segment_market(spark, segments.drop_incomplete(s), k=3, restarts=2, name=False).clusters
+    return _segment_totals(clusters, [F.count_distinct("CLUSTER_ID").alias("n_clusters"),
+                                      F.count_distinct("CLUSTER_NAME").alias("n_names")])
+
+
+@register("select_k_totals")
+def q_select_k_totals(spark, sf_dir):
+    """Each K of the range is scored once, and its score is a silhouette."""
+    seg = segments.segment_market(spark, shared_silver(spark, sf_dir), restarts=1)
+    return seg.report.agg(
+        F.count(F.lit(1)).alias("n_ks"), F.sum("k").alias("sum_ks"),
+        F.count(F.when((F.col("silhouette") < -1) | (F.col("silhouette") > 1) | (F.col("cost") < 0), 1)).alias("n_bad_scores"))
 
 
 # --- pipelines ------------------------------------------------------------------
@@ -335,19 +413,26 @@ def q_ingest_documents(spark, sf_dir):
     return spark.read.parquet(bronze_root).drop("ingestion_timestamp", "ingest_date")
 
 
-# Fixed split point of the incremental check: rows shipped before it form
-# the first load, the rest the appended batch.
-INCREMENTAL_CUTOFF = "1998-01-01"
-
-
 @register("incremental_silver")
 def q_incremental_silver(spark, sf_dir):
+    # The batch (every third line number) has late rows, older than rows that
+    # the state holds, as well as newer ones.
     raw = fx.listings_raw(spark, sf_dir)
-    old = F.col("ingestion_timestamp") < F.lit(INCREMENTAL_CUTOFF).cast("timestamp")
+    late = F.col("tie_line") % 3 == 0
     ties = fx.LISTING_TIE_BREAKERS
-    first = build_silver(raw.filter(old), tie_breakers=ties, stamp=False)
-    return medallion.incremental_silver(first, raw.filter(~old), tie_breakers=ties, rule="strict").select(
-        *first.columns)
+    state = silver_state(raw.filter(~late), tie_breakers=ties, stamp=False)
+    return medallion.incremental_silver(state, raw.filter(late), tie_breakers=ties).select(*silver_columns(False))
+
+
+@register("refresh_silver")
+def q_refresh_silver(spark, sf_dir):
+    # I1's write path, batch after batch, from nothing.
+    raw = fx.listings_raw(spark, sf_dir)
+    root, ties = scratch_path(spark, "lake"), fx.LISTING_TIE_BREAKERS
+    for part in (2, 0, 1):
+        out = medallion.refresh_silver(spark, raw.filter(F.col("tie_line") % 3 == part), f"{root}/state", f"{root}/silver",
+                                       tie_breakers=ties, stamp=False)
+    return out
 
 
 @register("brand_sources_union")
@@ -390,8 +475,8 @@ def q_append_with_column_list(spark, sf_dir):
 @register("skip_when_no_data")
 def q_skip_when_no_data(spark, sf_dir):
     sink, ckpt = scratch_path(spark, "merc-feed"), scratch_path(spark, "merc-feed-ckpt")
-    feeds.stream_brand_feed(spark, sf_dir, sink, ckpt)
-    second = feeds.stream_brand_feed(spark, sf_dir, sink, ckpt)
+    feeds.stream_brand_feed(spark, sf_dir, sink, ckpt, **LINEITEM_FEED)
+    second = feeds.stream_brand_feed(spark, sf_dir, sink, ckpt, **LINEITEM_FEED)
     if not feeds.skip_when_no_data(second):
         raise RuntimeError("a rerun over unchanged input consumed rows")
     return spark.read.parquet(sink)
@@ -453,3 +538,120 @@ def q_latest_audit(spark, sf_dir):
     # timestamp is left out so the result is deterministic.
     s = shared_silver(spark, sf_dir)
     return serving.latest_audit(quality.quality_results(s, gold.market_impact(s))).drop("Timestamp")
+
+
+# --- checks that can fail, audit history, layers --------------------------------
+
+def seeded_silver(spark, sf_dir):
+    """Silver with faults: negative prices, old diesels flagged compliant, and
+    ids that occur twice."""
+    s = silver(spark, sf_dir)
+    price = F.when(F.col("mileage") % 14000 == 0, -F.col("price")).otherwise(F.col("price"))
+    flag = F.col("is_ulez_compliant") | ((F.col("fuel_type") == "diesel") & (F.col("mileage") % 6000 == 0))
+    faulty = s.withColumns({"price": price.cast("decimal(10,2)"), "is_ulez_compliant": flag})
+    return faulty.unionByName(faulty.filter("mileage % 22000 = 0"))
+
+
+@register("check_positive_price_seeded")
+def q_check_positive_price_seeded(spark, sf_dir):
+    return quality.check_positive_price(seeded_silver(spark, sf_dir))
+
+
+@register("check_compliance_logic_seeded")
+def q_check_compliance_logic_seeded(spark, sf_dir):
+    return quality.check_compliance_logic(seeded_silver(spark, sf_dir))
+
+
+def _seeded_results(spark, sf_dir):
+    s = write_layer(seeded_silver(spark, sf_dir), scratch_path(spark, "seeded"))
+    one_side = gold.market_impact(s.filter("brand <> 'UNKNOWN' OR is_ulez_compliant"))
+    return quality.quality_results(s, one_side, stamp=False)
+
+
+@register("run_quality_checks_seeded")
+def q_run_quality_checks_seeded(spark, sf_dir):
+    return _seeded_results(spark, sf_dir)
+
+
+@register("record_audit")
+def q_record_audit(spark, sf_dir):
+    """The checks' records stored after each of 27 runs, more than the history
+    keeps, and the history read back from storage."""
+    results = write_layer(_seeded_results(spark, sf_dir), scratch_path(spark, "results"))
+    path = scratch_path(spark, "audit")
+    for day in range(27):
+        stamp = F.date_add(F.lit("2024-01-01").cast("date"), day).cast("timestamp")
+        history = quality.record_audit(results.select(stamp.alias("check_timestamp"), *results.columns), path)
+    return history.select(F.date_format("check_timestamp", "yyyy-MM-dd").alias("day"), *results.columns)
+
+
+@register("cluster_distribution_fixed")
+def q_cluster_distribution_fixed(spark, sf_dir):
+    c = fixed_clusters(spark, sf_dir)
+    return segments.cluster_distribution(segments.name_clusters(c, segments.rank_clusters(segments.cluster_profile(c))))
+
+
+@register("cluster_profile_fixed")
+def q_cluster_profile_fixed(spark, sf_dir):
+    p = segments.cluster_profile(fixed_clusters(spark, sf_dir))
+    return p.select("CLUSTER_ID", "n", *[F.round(c, 4).alias(c) for c in ("mean_price", "mean_mileage", "mean_year")])
+
+
+@register("cluster_scatter")
+def q_cluster_scatter(spark, sf_dir):
+    c = fixed_clusters(spark, sf_dir)
+    named = segments.name_clusters(c, segments.rank_clusters(segments.cluster_profile(c)))
+    return serving.display_tables(clusters=named)["clusters"]
+
+
+@register("read_layer")
+def q_read_layer(spark, sf_dir):
+    # One layer that is there and one that is missing, read by Silver's schema.
+    path = scratch_path(spark, "silver")
+    write_layer(silver(spark, sf_dir, stamp=True), path, read_back=False)
+    both = bronze.read_layer(spark, path, SILVER).unionByName(bronze.read_layer(spark, f"{path}-missing", SILVER))
+    return both.drop("processed_at")
+
+
+@register("save_clusters_table")
+def q_save_clusters_table(spark, sf_dir):
+    c = fixed_clusters(spark, sf_dir).select("ID", "CLUSTER_ID")
+    spark.sql("DROP TABLE IF EXISTS kerbside_query_clusters")
+    return save_clusters_table(c, "kerbside_query_clusters", scratch_path(spark, "clusters"))
+
+
+@register("materialize")
+def q_materialize(spark, sf_dir):
+    out = warehouse_models.run_warehouse_models(
+        fx.stage_raw(spark, sf_dir), materializations={"stg_cars": "view", "fct_cars": "table", "mart_ulez_impact": "table"},
+        location=scratch_path(spark, "warehouse"))
+    return spark.table("mart_ulez_impact").select(*out["mart_ulez_impact"].columns)
+
+
+@register("evolve_schema")
+def q_evolve_schema(spark, sf_dir):
+    named = fx.merc_raw(spark, sf_dir).select("model", "year", F.col("price").cast("string").alias("price"), "mileage")
+    return wh.evolve_schema(named, WAREHOUSE_FACT)
+
+
+@register("run_segmentation")
+def q_run_segmentation(spark, sf_dir):
+    root = scratch_path(spark, "lake")
+    write_layer(silver(spark, sf_dir, stamp=True), f"{root}/silver", read_back=False)
+    out = medallion.run_segmentation(spark, f"{root}/silver", f"{root}/clusters", restarts=2)
+    return out.select("ID", "BRAND", "PRICE", "IS_ULEZ_COMPLIANT", F.col("CLUSTER_NAME").isNotNull().alias("NAMED"))
+
+
+@register("run_medallion_outputs")
+def q_run_medallion_outputs(spark, sf_dir):
+    """All three layers of the medallion run, rerun into the same folders."""
+    bronze_root, root = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    fx.listings_raw(spark, sf_dir).write.parquet(bronze_root)
+    for _ in range(2):
+        out = medallion.run_medallion(spark, bronze_root, root, tie_breakers=fx.LISTING_TIE_BREAKERS[1:])
+    none = F.lit(None).cast("string")
+    return (out.silver.select(F.lit("silver").alias("layer"), F.col("id").alias("key"), "brand", F.col("price").cast("double").alias("value"))
+            .unionByName(out.market_impact.select(F.lit("impact").alias("layer"), none.alias("key"), "brand",
+                                                  F.col("percent_diff").alias("value")))
+            .unionByName(out.diesel_devaluation.select(F.lit("diesel").alias("layer"), F.col("model").alias("key"), "brand",
+                                                       F.col("devaluation_percent").alias("value"))))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, I, D, B, TS = T.StringType(), T.IntegerType(), T.DoubleType(), T.BooleanType(), T.TimestampType()
+S, I, L = T.StringType(), T.IntegerType(), T.LongType()
+D, B, TS = T.DoubleType(), T.BooleanType(), T.TimestampType()
 
 
 def struct(*fields: tuple) -> T.StructType:
@@ -41,7 +42,7 @@ MARKET_IMPACT = struct(("brand", S), ("avg_price_compliant", D),
                        ("avg_price_non_compliant", D), ("percent_diff", D))
 
 AUDIT = struct(("check_timestamp", TS), ("layer", S), ("check_name", S),
-               ("status", S), ("error_count", I))
+               ("status", S), ("error_count", L))
 
 # Warehouse raw tables and the warehouse fact.
 MERC_RAW = struct(("model", S), ("year", I), ("price", I), ("transmission", S), ("mileage", I),

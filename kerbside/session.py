@@ -7,6 +7,8 @@ Only when a session has none (a local test run) do we pick one ourselves.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,13 +27,16 @@ SCALE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "kerbside", extra: dict | None = None) -> SparkSession:
+    """``shuffle_partitions`` is left at the cluster's setting unless given
+    (small local runs): AQE merges partitions, but never adds any."""
     builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "16g"))
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -51,6 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
             # A machine-local folder is not visible to executors on a cluster.
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = tempfile.mkdtemp(prefix="kerbside-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
 
@@ -60,12 +66,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/kerbside/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread_for_iteration(df, partitions: int | None = None):
-    """Input of an iterative algorithm (K-means, boosted trees), cached,
-    because every iteration is a full pass. ``partitions`` (sized by the
-    caller from a row count) is used as given; without it the input gets at
-    least one partition per task slot, since AQE may have coalesced a small
-    input into a few, and a large input keeps its own, larger count."""
-    if partitions is None:
-        partitions = max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-    return df.repartition(partitions).persist()
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this session wrote under its scratch folder. Call it when
+    the DataFrames that read from there are no longer needed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kerbside")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -16,12 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kerbside.operators.warehouse import conform
+
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", "true").csv(path)
-    return reader.format(fmt).load(path)
+        # Columns are taken by header, not by position. The header comes from
+        # one file; a file whose header has another order or other names fails
+        # the read (enforceSchema=false) rather than filling wrong columns.
+        reader = spark.read.option("header", "true")
+        names = reader.csv(path).schema
+        return conform(reader.option("enforceSchema", "false").schema(names).csv(path), schema)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def brand_sources_union(spark: SparkSession, sources: str | Mapping[str, str | DataFrame],

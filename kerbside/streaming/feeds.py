@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.operators.warehouse import listing_feed_rows, merc_feed_rows
-from kerbside.sources import fixtures as fx
 
 
 def listing_change_stream(spark: SparkSession, folder: str, schema: T.StructType,
@@ -49,43 +48,36 @@ def start_feed(rows: DataFrame, sink: str, checkpoint: str, trigger: str = "avai
 
 def run_feed(spark: SparkSession, source: str, project: Callable[[DataFrame], DataFrame], sink: str,
              checkpoint: str, glob: str | None = None, schema: T.StructType | None = None,
-             trigger: str = "availableNow") -> StreamingQuery:
+             trigger: str = "availableNow", max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Run ``project`` over a folder's change stream into a parquet sink.
+    ``max_files_per_trigger`` cuts a backlog into several micro-batches."""
     if schema is None:
         path = f"{source.rstrip('/')}/{glob}" if glob else source
         schema = spark.read.parquet(path).schema
-    stream = listing_change_stream(spark, source, schema, glob)
+    stream = listing_change_stream(spark, source, schema, glob, max_files_per_trigger)
     query = start_feed(project(stream), sink, checkpoint, trigger)
     if trigger == "availableNow":
         query.awaitTermination()
     return query
 
 
-def stream_brand_feed(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                      glob: str | None = "lineitem.parquet", trigger: str = "availableNow",
-                      from_lineitem: bool = True) -> StreamingQuery:
+def stream_brand_feed(spark: SparkSession, source: str, sink: str, checkpoint: str, glob: str | None = None,
+                      trigger: str = "availableNow", max_files_per_trigger: int | None = None,
+                      raw: Callable[[DataFrame], DataFrame] = lambda stream: stream) -> StreamingQuery:
     """G1: INSERT rows of the Mercedes change feed -> lenient flag, age,
-    price per mile, literal brand -> appended to the fact."""
-    def project(stream: DataFrame) -> DataFrame:
-        raw = fx.project_merc(stream) if from_lineitem else stream
-        return merc_feed_rows(raw)
-    return run_feed(spark, source, project, sink, checkpoint, glob, trigger=trigger)
+    price per mile, literal brand -> appended to the fact. ``raw`` shapes the
+    folder's rows into the feed's, if they are not already."""
+    return run_feed(spark, source, lambda stream: merc_feed_rows(raw(stream)), sink, checkpoint, glob,
+                    trigger=trigger, max_files_per_trigger=max_files_per_trigger)
 
 
-def stream_listing_feed(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                        part: DataFrame | None = None, glob: str | None = "lineitem.parquet",
-                        trigger: str = "availableNow") -> StreamingQuery:
+def stream_listing_feed(spark: SparkSession, source: str, sink: str, checkpoint: str, glob: str | None = None,
+                        trigger: str = "availableNow", max_files_per_trigger: int | None = None,
+                        raw: Callable[[DataFrame], DataFrame] = lambda stream: stream) -> StreamingQuery:
     """The API table's feed; text price parsed to whole pounds or NULL,
-    title as model. With ``part`` the raw rows are derived from a lineitem
-    stream joined to the static part table (a stream-static equi join)."""
-    def project(stream: DataFrame) -> DataFrame:
-        if part is not None:
-            j = stream.join(part.select("p_partkey", "p_brand", "p_type", "p_name", "p_size"),
-                            stream["l_partkey"] == part["p_partkey"])
-            raw = fx.project_api_listing(j)
-        else:
-            raw = stream
-        return listing_feed_rows(raw)
-    return run_feed(spark, source, project, sink, checkpoint, glob, trigger=trigger)
+    title as model."""
+    return run_feed(spark, source, lambda stream: listing_feed_rows(raw(stream)), sink, checkpoint, glob,
+                    trigger=trigger, max_files_per_trigger=max_files_per_trigger)
 
 
 def skip_when_no_data(query: StreamingQuery) -> bool:

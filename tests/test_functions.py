@@ -49,3 +49,17 @@ def test_fail_mode_raises_without_ansi(spark):
         assert _col(spark, ["1,250", None], parse_price(F.col("v"), "fail")) == [1250.0, None]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_numbers_with_suffixes_are_not_prices(spark):
+    import pytest
+
+    from kerbside.functions.prices import parse_price
+
+    rows = [("12d",), ("7f",), ("0x10",), ("1e3",), (" 5 ",), (".5",), ("5.",), ("-3",), ("1,250.75",), ("NaN",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "p string")
+    got = {r.p: r.z for r in df.select("p", parse_price("p", "zero").alias("z")).collect()}
+    assert got == {"12d": 0, "7f": 0, "0x10": 0, "1e3": 1000, " 5 ": 5, ".5": 0.5, "5.": 5, "-3": -3, "1,250.75": 1250.75, "NaN": 0, "": 0, None: 0}
+    for bad in ("12d", "7f", "x"):
+        with pytest.raises(Exception, match="not a number"):
+            spark.createDataFrame([(bad,)], "p string").select(parse_price("p", "fail")).collect()

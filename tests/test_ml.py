@@ -12,17 +12,48 @@ def _features(spark, points, flags=None):
                                        "mileage int, is_ulez_compliant boolean")
 
 
+def _scaled(spark, points):
+    return segments.scale_features(segments.feature_table(_features(spark, points)))[0]
+
+
 def test_small_inputs_fall_back_to_k3(spark):
-    five = _features(spark, [(1000 * i, 10 * i, 2000 + i) for i in range(5)])
-    scaled, _ = segments.scale_features(segments.feature_table(five))
-    k, results = segments.select_k(scaled)
+    k, results = segments.select_k(_scaled(spark, [(1000 * i, 10 * i, 2000 + i) for i in range(5)]))
     assert k == 3 and results == []
-    seven = _features(spark, [(1000 * i, 10 * i, 2000 + i) for i in range(7)])
-    scaled7, _ = segments.scale_features(segments.feature_table(seven))
-    k7, results7 = segments.select_k(scaled7, restarts=2)
+    k7, results7 = segments.select_k(_scaled(spark, [(1000 * i, 10 * i, 2000 + i) for i in range(7)]), restarts=2)
     assert 7 not in [r.k for r in results7] and 2 <= k7 <= 6
 
 
+def test_k_does_not_depend_on_how_often_points_repeat(spark):
+    three = [(5000, 90000, 2005), (20000, 40000, 2014), (60000, 5000, 2022)]
+    for n in (20, 30, 3000):
+        k, results = segments.select_k(_scaled(spark, three * n), restarts=2)
+        assert k == 3 and [r.k for r in results] == [2, 3]
+
+
+def test_equal_rows_are_one_cluster(spark):
+    seg = segments.segment_market(spark, _features(spark, [(9000, 100, 2010)] * 100), restarts=2)
+    assert seg.k == 1 and {r.CLUSTER_ID for r in seg.clusters.collect()} == {0}
+    fixed = segments.segment_market(spark, _features(spark, [(9000, 100, 2010)] * 100), k=3, restarts=2, name=False)
+    assert {r.CLUSTER_ID for r in fixed.clusters.collect()} == {0}
+
+
+def test_cost_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(11)
+    points = [(int(rng.integers(1000, 60000)), int(rng.integers(0, 90000)), int(rng.integers(2000, 2024))) for _ in range(600)]
+    df = _features(spark, points)
+    costs = []
+    for n in (1, 4, 16):
+        scaled, _ = segments.scale_features(segments.feature_table(df.repartition(n)))
+        p = segments.weighted_points(scaled)
+        costs.append(segments._best_of_restarts(p, [4], 3, 42, segments.MAX_ITER, "scaled")[4].summary.trainingCost)
+    assert max(costs) - min(costs) < 1e-6
+
+
+def test_weighted_points_hold_every_row(spark):
+    p = segments.weighted_points(_scaled(spark, [(1, 2, 2000)] * 50 + [(3, 4, 2001)] * 7 + [(5, 6, 2002)])).collect()
+    assert sorted(r.weight for r in p) == [1.0, 7.0, 50.0]
+
+
 def test_scaling_is_zero_mean_unit_sample_std(spark):
     df = _features(spark, [(1000 * i + 7, (i * 37) % 11, 2000 + i % 5) for i in range(40)])
     scaled, _ = segments.scale_features(segments.feature_table(df))
@@ -88,10 +119,10 @@ def test_split_is_disjoint_complete_and_stable(spark):
 
 
 def test_price_model_fits_and_attributions_add_up(spark):
-    run = pricing.run_price_model(_fact(spark), trees=20, depth=4)
+    run = pricing.run_price_model(_fact(spark), trees=20, depth=4, background=1)
     assert run.metrics.first().r2 > 0.8
     rows = run.attributions.collect()
-    assert rows
+    assert len(rows) == run.test.count() > 0
     for r in rows:
         total = r.base_value + sum(r[f"phi_{f}"] for f in pricing.FEATURES)
         assert abs(total - r.prediction) < 1e-6
@@ -107,3 +138,17 @@ def test_attributions_with_background_sample_add_up(spark):
     for r in rows:
         total = r.base_value + sum(r[f"phi_{f}"] for f in pricing.FEATURES)
         assert abs(total - r.prediction) < 1e-6
+
+
+def test_missing_labels_and_features_keep_their_rows(spark):
+    from pyspark.sql import functions as F
+
+    fact = _fact(spark).withColumns({
+        "price": F.when(F.col("mileage") % 5 > 0, F.col("price")),
+        "engine_size": F.when(F.col("mileage") % 3 > 0, F.col("engine_size"))})
+    run = pricing.run_price_model(fact, trees=5, depth=3, background=2)
+    rows = run.attributions.collect()
+    assert len(rows) == run.test.count() and any(r.price is None for r in rows) and any(r.engine_size is None for r in rows)
+    assert all(abs(r.base_value + sum(r[f"phi_{f}"] for f in pricing.FEATURES) - r.prediction) < 1e-6 for r in rows)
+    assert run.metrics.first().n == sum(r.price is not None for r in rows)
+    assert pricing.labelled_input(run.train).count() == run.train.where("price IS NOT NULL").count()

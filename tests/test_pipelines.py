@@ -53,7 +53,7 @@ def test_segmentation_pipeline_reads_and_writes_layers(spark, tmp_path):
     from kerbside.operators.silver import build_silver
     s_path = str(tmp_path / "silver")
     build_silver(silver, tie_breakers=fx.LISTING_TIE_BREAKERS).write.parquet(s_path)
-    out = medallion.run_segmentation(spark, s_path, str(tmp_path / "clusters"))
+    out = medallion.run_segmentation(spark, s_path, str(tmp_path / "clusters"), restarts=2)
     assert out is not None and out.count() == spark.read.parquet(s_path).count()
     assert {"CLUSTER_ID", "CLUSTER_NAME", "PRICE"} <= set(out.columns)
     assert medallion.run_segmentation(spark, str(tmp_path / "missing"), str(tmp_path / "x")) is None
@@ -78,14 +78,15 @@ def test_incremental_silver_reads_only_new_partitions(spark, tmp_path):
     (pages / "p1.json").write_text(json.dumps(_page(["a", "b", "c"])))
     bronze = str(tmp_path / "bronze")
     medallion.ingest_documents(spark, str(pages), "Audi", "Petrol", bronze, at=T0)
-    first = medallion.run_medallion(spark, bronze, str(tmp_path / "lake1")).silver
+    lake = str(tmp_path / "lake1")
+    medallion.refresh_silver(spark, read_bronze_union(spark, bronze), f"{lake}/state", f"{lake}/silver", stamp=False)
     later = tmp_path / "later"
     later.mkdir()
     (later / "p1.json").write_text(json.dumps(_page(["b", "d"], "Petrol")))
     medallion.ingest_documents(spark, str(later), "Audi", "Diesel", bronze, at=T0 + dt.timedelta(days=2))
     new = read_bronze_union(spark, bronze, since=(T0 + dt.timedelta(days=1)).strftime("%Y-%m-%d"))
     assert new.count() == 2
-    inc = medallion.incremental_silver(first.drop("processed_at"), new)
+    inc = medallion.refresh_silver(spark, new, f"{lake}/state", f"{lake}/silver", stamp=False)
     full = medallion.run_medallion(spark, bronze, str(tmp_path / "lake2")).silver.drop("processed_at")
     key = lambda df: sorted(tuple(r) for r in df.collect())
     assert key(inc) == key(full)

@@ -53,3 +53,13 @@ def test_top_listings_and_layer_counts(spark):
     assert [r.price for r in top] == [Decimal("12.00"), Decimal("11.00")]
     counts = serving.layer_counts(s).first()
     assert (counts.total_rows, counts.ml_valid_rows) == (8, 7)
+
+
+def test_audit_history_on_storage(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    for i in range(26):
+        fresh = [(NOW + dt.timedelta(days=i), "SILVER", f"c{k}", "PASS", 3_000_000_000) for k in range(4)]
+        kept = quality.record_audit(spark.createDataFrame(fresh, AUDIT), path).collect()
+        assert len(kept) == min(100, 4 * (i + 1))
+    assert min(r.check_timestamp for r in kept) == NOW + dt.timedelta(days=1) and kept[0].error_count == 3_000_000_000
+    assert spark.read.parquet(path).count() == 100

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from kerbside.operators import gold, quality
+from kerbside.operators import gold
 from kerbside.operators import warehouse as wh
 from kerbside.operators.silver import build_silver
 from kerbside.sources import fixtures as fx
@@ -34,10 +34,24 @@ def test_marts_aggregate_partially_and_prune_columns(spark):
     assert "l_discount" not in li_scan and "l_tax" not in li_scan
 
 
-def test_quality_pass_reuses_dedup_partitioning(spark):
-    s = build_silver(fx.listings_raw(spark, SF), tie_breakers=fx.LISTING_TIE_BREAKERS, stamp=False)
-    plan = _plan(quality.quality_results(s, stamp=False))
-    assert plan.count("Exchange hashpartitioning(id") == 1
+def test_registered_checks_scan_written_silver_by_column(spark):
+    from kerbside.queries import QUERIES
+
+    for name, unread in (("run_quality_checks", ("mileage", "engine_size", "transmission")),
+                         ("headline_metrics", ("mileage", "engine_size", "transmission")),
+                         ("trust_score", ("mileage", "engine_size"))):
+        plan = _plan(QUERIES[name](spark, SF))
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+        assert scans and "ExistingRDD" not in plan and "lineitem" not in plan
+        assert not any(c in line for line in scans for c in unread), name
+
+
+def test_registered_marts_aggregate_before_the_shuffle(spark):
+    from kerbside.queries import QUERIES
+
+    for name in ("impact_summary", "market_impact", "diesel_devaluation_ranked"):
+        plan = _plan(QUERIES[name](spark, SF))
+        assert "partial_sum" in plan and "BroadcastNestedLoop" not in plan and "Cartesian" not in plan, name
 
 
 def _bronze(spark, rows):
@@ -64,3 +78,11 @@ def test_hot_title_in_backfill(spark):
     out = wh.backfill_missing(raw, fact)
     assert out.count() == 3000 - 1000 - 1
     assert out.filter(F.col("model") == "t-hot").count() == 0
+
+
+def test_price_means_do_not_depend_on_row_order(spark):
+    rows = [("B", "M", 2010, "Diesel", i % 2 == 0, 5, 0.1 * (i % 17) + 1e6 * (i % 3)) for i in range(999)]
+    df = spark.createDataFrame(rows, "brand string, model string, year int, fuel_type string, is_ulez_compliant boolean, mileage int, price double")
+    for mart in (gold.impact_summary, gold.diesel_devaluation_ranked):
+        a, b = (sorted(tuple(r) for r in mart(x).collect()) for x in (df.repartition(5), df.orderBy(F.col("price").desc())))
+        assert a == b

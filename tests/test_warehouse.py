@@ -46,3 +46,21 @@ def test_brand_sources_from_mapping(spark):
     b = spark.createDataFrame([("m2", 2011)], "model string, year int")
     out = brand_sources_union(spark, {"audi": a, "bmw": b}, schema=None)
     assert sorted((r.model, r.brand) for r in out.collect()) == [("m1", "audi"), ("m2", "bmw")]
+
+
+def test_csv_columns_are_taken_by_header(spark, tmp_path):
+    import pytest
+    from pyspark.sql import types as T
+
+    from kerbside.sources.warehouse import brand_sources_union
+
+    schema = T.StructType([T.StructField("model", T.StringType()), T.StructField("year", T.IntegerType()), T.StructField("price", T.DoubleType())])
+    for brand, text in (("audi", "model,year,price\nA3,2010,1.5\n"), ("kia", "year,extra,model,price\n2012,x,Rio,2.5\n"), ("vw", "model\nGolf\n")):
+        (tmp_path / brand).mkdir()
+        (tmp_path / brand / "a.csv").write_text(text)
+    got = brand_sources_union(spark, {b: str(tmp_path / b) for b in ("audi", "kia", "vw")}, schema).collect()
+    assert sorted(tuple(r) for r in got if r.brand != "vw") == [("A3", 2010, 1.5, "audi"), ("Rio", 2012, 2.5, "kia")]
+    assert [tuple(r) for r in got if r.brand == "vw"] == [("Golf", None, None, "vw")]
+    (tmp_path / "audi" / "b.csv").write_text("year,model,price\n2010,A4,3.5\n")
+    with pytest.raises(Exception, match="CSV header"):
+        brand_sources_union(spark, {"audi": str(tmp_path / "audi")}, schema).collect()
