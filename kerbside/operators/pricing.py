@@ -43,6 +43,9 @@ STEP = 0.3
 MISSING = -1.0e6
 # Points of the background sample of M9.
 BACKGROUND = 3
+# Training partitions: one per 50,000 rows up to the task slots, then one per
+# 2,000,000 rows; each tree level is a job, so small inputs want few tasks.
+SMALL_PARTITION_ROWS = 50_000
 ROWS_PER_PARTITION = 2_000_000
 
 
@@ -77,11 +80,12 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 def train_price_model(train: DataFrame, features: Sequence[str] = FEATURES, label: str = LABEL,
                       trees: int = TREES, depth: int = DEPTH, step: float = STEP,
                       seed: int = SEED) -> GBTRegressionModel:
-    """M7. The fit is iterative, so its input is cached; it is dealt to at least
-    the task slots there are, more for more rows."""
+    """M7. The fit is iterative, so its input is cached, in partitions that
+    follow the row count."""
     data = _assembler(features).transform(labelled_input(train, features, label)).select("features", "__label")
     slots = data.sparkSession.sparkContext.defaultParallelism
-    data = data.repartition(max(slots, -(-train.count() // ROWS_PER_PARTITION))).persist()
+    rows = train.count()
+    data = data.repartition(max(1, min(slots, -(-rows // SMALL_PARTITION_ROWS)), -(-rows // ROWS_PER_PARTITION))).persist()
     # Boosting state is checkpointed to the shared folder every 10 trees, so a
     # lost executor costs at most 10 trees of lineage, not the whole run.
     shared_dir(data.sparkSession)
