@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kerbside.operators import gold, segments
 from kerbside.operators.dedup import dedup_latest

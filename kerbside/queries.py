@@ -22,7 +22,7 @@ from kerbside.operators.silver import build_silver, silver_columns, silver_state
 from kerbside.functions.prices import parse_price
 from kerbside.session import scratch_path
 from kerbside.schemas import API_RAW, SILVER, WAREHOUSE_FACT
-from kerbside.sinks.layers import materialize, save_clusters_table, write_layer
+from kerbside.sinks.layers import save_clusters_table, write_layer
 from kerbside.sources import bronze, documents
 from kerbside.sources import warehouse as wsrc
 from kerbside.sources import fixtures as fx

@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from kerbside.sources.documents import extract_listings, ingest_listings, parse_documents
 

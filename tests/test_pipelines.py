@@ -1,7 +1,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from kerbside.operators import gold, serving
 from kerbside.plans import medallion

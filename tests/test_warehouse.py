@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from kerbside.operators import warehouse as wh
 from kerbside.plans.warehouse_models import run_warehouse_models
