@@ -231,7 +231,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The rows that hold no benchmark item, with all their columns. Rows pass
     the search of each block in turn and are never joined or moved."""
     packed = docs.select(F.struct("*").alias("whole"), as_bytes(text_col).alias("raw"))
-    schema = f"whole {packed.schema['whole'].dataType.simpleString()}, raw binary"
     for block in _blocks(benchmark, item_col, item_text_col, seed_words, seed_span, block_bytes):
         shared = _with_seeds(docs, text_col, block)
 
@@ -240,5 +239,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
             for part in slices(batches, 1):
                 yield part.filter(pa.array([not mine.matches(words_of(raw), min_score) for raw in part.column(1).to_pylist()]))
 
-        packed = packed.mapInArrow(clean, schema)
+        packed = packed.mapInArrow(clean, packed.schema)
     return packed.select("whole.*")

@@ -25,6 +25,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside.llm.common import as_bytes, slices, text_of
 
@@ -206,8 +207,7 @@ def redact(df: DataFrame, text_col: str = "text", length_col: str | None = "n_ch
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(changed, pa.string())], names=["whole", "changed"])
 
     packed = df.select(F.struct("*").alias("whole"), as_bytes(text_col).alias("raw"))
-    kind = packed.schema["whole"].dataType.simpleString()
-    out = packed.mapInArrow(run, f"whole {kind}, changed string")
+    out = packed.mapInArrow(run, T.StructType([packed.schema["whole"], T.StructField("changed", T.StringType())]))
     columns = []
     for field in df.schema.fields:
         value = F.col("whole").getField(field.name)

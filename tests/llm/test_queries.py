@@ -167,8 +167,8 @@ def test_pipeline(spark, docs):
 
 
 def test_stages_keep_the_columns_of_documents(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, whole string, host string, fp int, raw binary"
-    some = spark.createDataFrame([(i if i else None, t, None, s, None, "w", "h", 1, b"r") for i, (t, s) in enumerate(
+    schema = "doc_id long, text string, lang string, source string, n_chars long, whole string, host string, fp int, raw binary, `odd name.x` string"
+    some = spark.createDataFrame([(i if i else None, t, None, s, None, "w", "h", 1, b"r", "o") for i, (t, s) in enumerate(
         [(None, None), ("", "a"), ("word " * 3, "a"), (" ".join(map(str, range(40))), None), (" ".join(map(str, range(40))), "b"),
          (" ".join(map(str, range(50, 99))) + " password=abcdefghijkl99", "b"), ("x" * 100000 + " y" * 3, "c")])], schema)
     for df in (some, some.limit(0)):
