@@ -91,16 +91,20 @@ def host_verdicts(judged: DataFrame, host_col: str = "host", failed_col: str = "
     return rated.select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk > max_rate).alias("host_rejected"))
 
 
+def _rejected(judged: DataFrame, max_rate: float) -> DataFrame:
+    return settle(host_verdicts(judged, max_rate=max_rate).where("host_rejected").select("host"), "rejected")
+
+
 def judge_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                     max_rate: float = 0.5) -> DataFrame:
     """Per row: id, base counts, ``base_failed`` and ``kept``. Only counts and
-    hosts are written and joined; the join on a host with very many documents
-    is one that adaptive execution can split."""
+    hosts are written and joined. Rejected hosts are written first, so the join
+    is planned by their real size: broadcast while they are few, otherwise one
+    that adaptive execution can split at a host with very many documents."""
     judged = settle(df.select(F.col(id_col).alias("row_id"), F.col(host_col).cast("string").alias("host"),
                               base_rules(F.col(text_col)).alias("base")), "judged")
     judged = judged.select("row_id", "host", "base.*")
-    hosts = host_verdicts(judged, max_rate=max_rate).select("host", "host_rejected")
-    joined = judged.join(hosts, "host", "left")
+    joined = judged.join(_rejected(judged, max_rate).withColumn("host_rejected", F.lit(True)), "host", "left")
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False))
     return joined.select(F.col("row_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", kept.alias("kept"))
@@ -111,5 +115,5 @@ def keep_good(df: DataFrame, text_col: str = "text", host_col: str = "source", m
     columns."""
     judged = settle(df.select(F.struct("*").alias("whole"), F.col(host_col).cast("string").alias("host"),
                               base_rules(F.col(text_col))["base_failed"].alias("base_failed")), "judged")
-    bad = host_verdicts(judged.select("host", "base_failed"), max_rate=max_rate).where("host_rejected").select("host")
+    bad = _rejected(judged.select("host", "base_failed"), max_rate)
     return judged.where("NOT base_failed").join(bad, "host", "left_anti").select("whole.*")
