@@ -29,8 +29,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside.llm.common import as_bytes, settle
 from kerbside.llm.components import connected_components
@@ -74,8 +75,7 @@ def fingerprints(df: DataFrame, columns: dict[str, Column | str], text_col: str
 
     picked = df.select(*(F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in columns.items()),
                        as_bytes(text_col).alias("raw_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
-    return picked.mapInArrow(run, f"{schema}, fp long")
+    return picked.mapInArrow(run, T.StructType([*picked.schema.fields[:-1], T.StructField("fp", T.LongType())]))
 
 
 def links(distinct_fps: DataFrame, max_distance: int = 2) -> DataFrame:
@@ -123,16 +123,35 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.col("component").alias("component_id"))
 
 
+def _content(df: DataFrame) -> Column:
+    """A hash of the row's columns, maps left out (they have no hash)."""
+    def plain(kind) -> bool:
+        if isinstance(kind, T.ArrayType):
+            return plain(kind.elementType)
+        if isinstance(kind, T.StructType):
+            return all(plain(f.dataType) for f in kind.fields)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    whole = F.struct("*")
+    kept = [f.name for f in df.schema.fields if plain(f.dataType)]
+    return F.xxhash64(*(whole.getField(c) for c in kept))
+
+
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle_words: int = 3, max_distance: int = 2) -> DataFrame:
     """The rows with one row of each component kept, that with the smallest
     id; among rows of that id, the first by their content's hash. Rows keep
-    all their columns."""
-    marked = settle(fingerprints(df, {"row_id": id_col, "whole": F.struct("*")}, text_col, shingle_words), "marked")
-    found = settle(components_of(marked.select("row_id", "fp"), max_distance), "components")
-    near = marked.join(found, "fp").where(F.col("row_id").eqNullSafe(F.col("component")))
-    keys = near.select("root", F.xxhash64(F.to_json("whole")).alias("content"), "whole")
-    from pyspark.sql import Window
-
-    first = F.row_number().over(Window.partitionBy("root").orderBy("content"))
-    return keys.withColumn("nth", first).where("nth = 1").select("whole.*")
+    all their columns. Only ids, content hashes and fingerprints are written;
+    the rows themselves move once, to meet the kept ids. ``df`` is read twice:
+    pass a written table."""
+    id_key = F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit("n"))
+    marked = settle(fingerprints(df, {"row_id": id_col, "id_key": id_key, "content": _content(df)}, text_col, shingle_words), "marked")
+    found = components_of(marked, max_distance).select("fp", "root")
+    first = F.min(F.struct(F.col("row_id").isNull().alias("none"), "row_id", "content", "id_key"))
+    kept = settle(marked.join(found, "fp").groupBy("root").agg(first.alias("first")).select("first.id_key", "first.content"), "kept")
+    # Repeated rows are cut to one per task before the rows are dealt by key;
+    # the join with the kept keys then needs no dealing of its own.
+    rows = df.select(id_key.alias("id_key"), _content(df).alias("content"), F.struct("*").alias("whole"))
+    nth = F.row_number().over(Window.partitionBy("id_key", "content").orderBy(F.lit(1)))
+    single = rows.withColumn("nth", nth).where("nth = 1")
+    return single.join(kept, ["id_key", "content"], "left_semi").select("whole.*")
