@@ -24,6 +24,7 @@ extra columns may have any name.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import unicodedata
@@ -39,7 +40,7 @@ from kerbside.llm.common import as_bytes, slices, text_of
 
 NEVER = 1 << 60
 #: Entries kept per worker; caches only save time, results don't depend on them.
-MAX_CACHED = 150_000
+MAX_CACHED = 300_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -357,7 +358,18 @@ class Codec:
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         """Token ids of each whole text. Texts are cut where a pre-token must
         start: at special tokens and at each blank that stands between two
-        other characters. Each new piece is encoded once for all texts."""
+        other characters. Each new piece is encoded once for all texts. Nothing
+        here makes reference cycles, so the cycle collector, which would walk
+        the caches again and again, rests meanwhile."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_all(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[list[int]]:
         plans, new = [], set()
         for text in texts:
             parts = self.split_special.split(text) if self.split_special and any(s in text for s in self.special) else [text]
