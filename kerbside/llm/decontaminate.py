@@ -1,17 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds and alignment (operator 4).
+"""Benchmark decontamination: n-gram seeds and alignment (operator 4).
 
 Benchmark items are taken in blocks of bounded text, each block searched
-against all documents. One pass counts how often each of the block's n-grams
-occurs in the whole corpus. In every run of ``seed_span`` neighbouring n-grams
-of an item the rarest one becomes a seed, so any unedited stretch of
-``seed_words + seed_span - 1`` words (four by default) of an item holds a
-seed, no n-gram is too common to be found, and a common phrase among rarer
-ones seeds nothing. A second pass joins documents to items on the seeds,
-through an index of the block's seeds that is broadcast (bounded by the
-block). Where seeds of an item fall, the stretch of the document around them
-is aligned with the item by Smith-Waterman over words (match 1, mismatch and
-gap -1); the score is divided by the item's length. ``min_score`` 0.5 is met
-by a copy with a quarter of its words replaced, or by half of an item.
+against all documents in one pass. Every n-gram of an item is a seed, so any
+unedited stretch of ``seed_words`` words of an item is found; leaving out the
+more common of two neighbours would lose the copies that hold only that one.
+Documents meet items on the seeds, through an index of the block's n-grams that
+is broadcast (bounded by the block). A common phrase brings up many items, so
+items and stretches with too few shared words to reach ``min_score`` go before
+the alignment; a score cannot exceed their number. Where seeds of an item
+fall, the stretch of the document around them is aligned with the item by
+Smith-Waterman over words (match 1, mismatch and gap -1); the score is divided
+by the item's length. ``min_score`` 0.5 is met by a copy with a quarter of its
+words replaced, or by half of an item.
 
 Words are lower-cased and freed of ASCII punctuation. Cases: NULL or empty
 texts and items have no words and match nothing; items of fewer than
@@ -60,12 +60,23 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def spread(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (many[0] numbers), first[1], ... in one array."""
+    return np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+
+
+def portions(sizes: np.ndarray, most: int = 1 << 20):
+    """Slices of about ``most`` in sum of ``sizes``, of one element at least."""
+    group = (np.cumsum(sizes) - sizes) // most
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
+    return [slice(i, j) for i, j in zip(edges, edges[1:])]
+
+
 class Block:
-    """Benchmark items of one block: vocabulary, n-grams and, once the corpus
-    counts are known, seeds."""
+    """Benchmark items of one block: vocabulary, words and seeds."""
 
-    def __init__(self, items: list[tuple[object, list[bytes]]], seed_words: int, seed_span: int):
-        self.n, self.span = seed_words, seed_span
+    def __init__(self, items: list[tuple[object, list[bytes]]], seed_words: int):
+        self.n = seed_words
         by_words: dict[tuple, list] = defaultdict(list)
         for item_id, words in items:
             if len(words) >= seed_words:
@@ -73,8 +84,24 @@ class Block:
         self.vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for ws in by_words for w in ws), 1)}
         self.base = len(self.vocabulary) + 1
         self.ids = list(by_words.values())
-        self.items = [np.array([self.vocabulary[w] for w in ws], np.int64) for ws in by_words]
-        self.grams = np.unique(np.concatenate([self.codes(x)[1] for x in self.items])) if self.items else np.zeros(0, np.int64)
+        self.sizes = np.array([len(ws) for ws in by_words], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.words = np.array([self.vocabulary[w] for ws in by_words for w in ws], np.int64)
+        self.index()
+
+    def item(self, i: int) -> np.ndarray:
+        return self.words[self.starts[i]:self.starts[i] + self.sizes[i]]
+
+    def index(self) -> None:
+        """The seeds, sorted, and the places (item, offset) of each."""
+        at, codes = self.codes(self.words)
+        item = np.searchsorted(self.starts, at, "right") - 1
+        inside = at + self.n <= self.starts[item] + self.sizes[item]
+        at, codes, item = at[inside], codes[inside], item[inside]
+        order = np.argsort(codes, kind="stable")
+        self.seeds, first = np.unique(codes[order], return_index=True)
+        self.first = np.append(first, len(order))
+        self.at_item, self.at_offset = item[order], (at - self.starts[item])[order]
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.array(list(map(self.vocabulary.get, words, repeat(0))), np.int64)
@@ -101,104 +128,100 @@ class Block:
         hit = np.flatnonzero(table[np.minimum(where, len(table) - 1)] == codes) if len(table) else np.zeros(0, np.int64)
         return hit, where[hit]
 
-    def choose_seeds(self, counts: np.ndarray) -> None:
-        places = defaultdict(list)
-        for item, numbers in enumerate(self.items):
-            rarity = counts[np.searchsorted(self.grams, self.codes(numbers)[1])]
-            codes = self.codes(numbers)[1]
-            span = min(self.span, len(codes))
-            chosen = {s + int(rarity[s:s + span].argmin()) for s in range(len(codes) - span + 1)}
-            for at in sorted(chosen):
-                places[int(codes[at])].append((item, at))
-        self.seeds = np.array(sorted(places), np.int64)
-        flat = [places[int(c)] for c in self.seeds]
-        self.first = np.cumsum([0, *map(len, flat)])
-        self.place = np.array([p for ps in flat for p in ps], np.int64).reshape(-1, 2)
+    def shared(self, item: np.ndarray, has) -> np.ndarray:
+        """For each of the items, how many of its words pass ``has(words,
+        positions in item)``."""
+        out = [np.zeros(0, np.int64)]
+        for s in portions(self.sizes[item]):
+            many = self.sizes[item[s]]
+            ok = has(self.words[spread(self.starts[item[s]], many)], np.repeat(np.arange(s.start, s.start + len(many)), many))
+            out.append(np.add.reduceat(ok, np.cumsum(many) - many, dtype=np.int64))
+        return np.concatenate(out)
+
+    def runs(self, numbers: np.ndarray, min_score: float) -> list[np.ndarray]:
+        """item, start, end of each stretch of the document that has seeds of
+        the item and enough of its words."""
+        at, codes = self.codes(numbers)
+        hit, seed = self.found(self.seeds, codes)
+        none = [np.zeros(0, np.int64)] * 3
+        if not hit.size:
+            return none
+        once = np.unique(seed)
+        item = np.unique(self.at_item[spread(self.first[once], self.first[once + 1] - self.first[once])])
+        present = np.zeros(self.base, bool)
+        present[numbers] = True
+        item = item[self.shared(item, lambda words, _: present[words]) >= min_score * self.sizes[item]]
+        if not item.size:
+            return none
+        wanted = np.zeros(len(self.sizes), bool)
+        wanted[item] = True
+        many, far = self.first[seed + 1] - self.first[seed], int(self.sizes.max())
+        wide = len(numbers) + far
+        keys = [np.zeros(0, np.int64)]
+        for s in portions(many):
+            place = spread(self.first[seed[s]], many[s])
+            begin = np.repeat(at[hit[s]], many[s]) - self.at_offset[place]
+            use = wanted[self.at_item[place]]
+            keys.append(np.unique(self.at_item[place[use]] * wide + begin[use] + far))
+        item, begin = np.divmod(np.unique(np.concatenate(keys)), wide)
+        begin -= far
+        size = self.sizes[item]
+        slack = size // 2 + 1
+        lo, hi = np.maximum(begin - slack, 0), np.minimum(begin + size + slack, len(numbers))
+        opens = np.append(True, (np.diff(item) > 0) | (lo[1:] > hi[:-1]))
+        item, lo, hi = item[opens], lo[opens], hi[np.append(opens[1:], True)]
+        order = np.argsort(numbers, kind="stable")
+        placed = numbers[order] * (len(numbers) + 1) + order
+
+        def within(words, run):
+            base = words * (len(numbers) + 1)
+            after = np.searchsorted(placed, base + lo[run])
+            return (after < len(placed)) & (placed[np.minimum(after, len(placed) - 1)] < base + hi[run])
+
+        enough = self.shared(item, within) >= min_score * self.sizes[item]
+        return [item[enough], lo[enough], hi[enough]]
 
     def matches(self, words: list[bytes], min_score: float) -> list[tuple]:
         """(item ids, score, words matched net, start, end) for each item that
         the document has, at its best place."""
         numbers = self.numbers(words)
-        at, codes = self.codes(numbers)
-        hit, seed = self.found(self.seeds, codes)
-        if not hit.size:
-            return []
-        many = self.first[seed + 1] - self.first[seed]
-        index = np.repeat(self.first[seed] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        item, offset = self.place[index].T
-        begin = np.repeat(at[hit], many) - offset
-        order = np.lexsort((begin, item))
-        item, begin = item[order], begin[order]
-        out = []
-        for part in np.split(np.arange(len(item)), np.flatnonzero(np.diff(item)) + 1):
-            one = int(item[part[0]])
-            target = self.items[one]
-            size, best = len(target), (0, 0, 0)
-            slack = size // 2 + 1
-            lo, hi = np.maximum(begin[part] - slack, 0), np.minimum(begin[part] + size + slack, len(numbers))
-            cut = np.flatnonzero(lo[1:] > np.maximum.accumulate(hi)[:-1]) + 1
-            for run in np.split(np.arange(len(lo)), cut):
-                a, b = int(lo[run[0]]), int(hi[run].max())
-                stretch = numbers[a:b]
-                # a score cannot exceed the stretch's words that the item has
-                if np.isin(stretch, target).sum() < min_score * size:
-                    continue
-                score, i, j = smith_waterman(target, stretch)
-                if score > best[0]:
-                    back = smith_waterman(target[:i][::-1], stretch[:j][::-1])
-                    best = (score, a + j - back[2], a + j)
-            if best[0] >= min_score * size:
-                out.append((self.ids[one], best[0] / size, *best))
-        return out
-
-
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, seed_words: int, seed_span: int, block_bytes: int):
+        found: dict[int, tuple] = {}
+        for one, a, b in zip(*(x.tolist() for x in self.runs(numbers, min_score))):
+            target, stretch = self.item(one), numbers[a:b]
+            # a score cannot exceed the stretch's words that the item has
+            if np.isin(stretch, target).sum() < min_score * len(target):
+                continue
+            score, i, j = smith_waterman(target, stretch)
+            if score >= min_score * len(target) and score > found.get(one, (0,))[0]:
+                back = smith_waterman(target[:i][::-1], stretch[:j][::-1])
+                found[one] = (score, a + j - back[2], a + j)
+        return [(self.ids[one], best[0] / int(self.sizes[one]), *best) for one, best in found.items()]
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, seed_words: int, block_bytes: int):
     """Items in blocks of about ``block_bytes``; the driver holds one block."""
     held, size = [], 0
     for row in benchmark.select(F.col(id_col).alias("i"), as_bytes(text_col).alias("t")).toLocalIterator():
         raw = bytes(row.t) if row.t is not None else b""
         if held and size + len(raw) > block_bytes:
-            yield Block(held, seed_words, seed_span)
+            yield Block(held, seed_words)
             held, size = [], 0
         held.append((row.i, words_of(raw)))
         size += len(raw)
     if held:
-        yield Block(held, seed_words, seed_span)
-
-
-def _with_seeds(docs: DataFrame, text_col: str, block: Block):
-    """Count the block's n-grams over all documents, choose seeds, broadcast."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(block)
-
-    def count(batches):
-        mine = shared.value
-        total = np.zeros(len(mine.grams), np.int64)
-        for part in slices(batches, 0):
-            for raw in part.column(0).to_pylist():
-                _, where = mine.found(mine.grams, mine.codes(mine.numbers(words_of(raw)))[1])
-                total += np.bincount(where, minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["gram", "n"])
-
-    counted = docs.select(as_bytes(text_col).alias("raw")).mapInArrow(count, "gram long, n long")
-    counts = np.zeros(len(block.grams), np.int64)
-    for row in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # one row per n-gram of the block at most
-        counts[row.gram] = row.n
-    block.choose_seeds(counts)
-    return spark.sparkContext.broadcast(block)
+        yield Block(held, seed_words)
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 3, seed_span: int = 2,
+                       item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 3,
                        min_score: float = 0.5, block_bytes: int = 2 << 20) -> DataFrame:
     """(id, item, score, start_word, end_word) of each document that holds an
     item, at its best place."""
     types = [d.select(F.col(c).alias("i")).schema["i"].dataType for d, c in ((docs, id_col), (benchmark, item_col))]
     schema = f"row {types[0].simpleString()}, item {types[1].simpleString()}, score double, start_word long, end_word long"
     found = []
-    for block in _blocks(benchmark, item_col, item_text_col, seed_words, seed_span, block_bytes):
-        shared = _with_seeds(docs, text_col, block)
+    for block in _blocks(benchmark, item_col, item_text_col, seed_words, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def search(batches, shared=shared):
             mine = shared.value
@@ -226,13 +249,13 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                      item_text_col: str = "text", seed_words: int = 3, seed_span: int = 2, min_score: float = 0.5,
+                      item_text_col: str = "text", seed_words: int = 3, min_score: float = 0.5,
                       block_bytes: int = 2 << 20) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns. Rows pass
     the search of each block in turn and are never joined or moved."""
     packed = docs.select(F.struct("*").alias("whole"), as_bytes(text_col).alias("raw"))
-    for block in _blocks(benchmark, item_col, item_text_col, seed_words, seed_span, block_bytes):
-        shared = _with_seeds(docs, text_col, block)
+    for block in _blocks(benchmark, item_col, item_text_col, seed_words, block_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches, shared=shared):
             mine = shared.value

@@ -89,3 +89,35 @@ def test_edges(spark):
     assert dc.contaminated_pairs(none, items_df).count() == 0
     assert dc.contaminated_pairs(docs_df, empty).count() == 0
     assert dc.drop_contaminated(docs_df, empty).count() == len(docs)
+
+
+def test_copies_edited_after_every_third_word(spark):
+    """All copies whose unedited stretches are three words long, also beside
+    whole and other copies, which make each n-gram of the item occur."""
+    long, short = [f"a{i}" for i in range(48)], [f"b{i}" for i in range(7)]
+    docs = [[w for i, x in enumerate(long) for w in ([x, f"new{i}"] if i % 3 == 2 else [x])], [*short[:3], "other", *short[4:]]]
+    for shift in range(4):
+        docs.append([f"new{i}" if i % 4 == shift else w for i, w in enumerate(long)])
+    for whole in ([], [long, short], [long, long[1:], short, short]):
+        texts = [["x", "y", *w, "z"] for w in docs + whole]
+        docs_df = spark.createDataFrame([(i, " ".join(w), "en", 0.5) for i, w in enumerate(texts)], DOCS)
+        items_df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((long, short))], ITEMS)
+        want = {(d, i): brute_sw(x, w) / len(x) for d, w in enumerate(texts) for i, x in enumerate((long, short))
+                if brute_sw(x, w) >= 0.5 * len(x)}
+        got = {(r.doc_id, r.item_id): r.score for r in dc.contaminated_pairs(docs_df, items_df).collect()}
+        assert got == want and {d for d, _ in got} == set(range(len(texts)))
+        assert dc.drop_contaminated(docs_df, items_df).count() == 0
+
+
+def test_common_phrase_in_many_items(spark):
+    """A phrase that all items and documents share brings up all pairs; those
+    that reach the score are exactly the ones that alignment of all pairs finds."""
+    rnd = random.Random(3)
+    phrase = ["which", "of", "the", "following"]
+    items = [phrase + [f"v{rnd.randrange(90)}" for _ in range(rnd.randint(1, 9))] for _ in range(60)]
+    docs = [[f"v{rnd.randrange(90)}" for _ in range(20)] + phrase + rnd.choice(items)[2:] + phrase for _ in range(30)]
+    docs_df = spark.createDataFrame([(i, " ".join(w), "en", 0.5) for i, w in enumerate(docs)], DOCS)
+    items_df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], ITEMS)
+    want = {(d, i): brute_sw(x, w) / len(x) for d, w in enumerate(docs) for i, x in enumerate(items) if brute_sw(x, w) >= 0.5 * len(x)}
+    got = {(r.doc_id, r.item_id): r.score for r in dc.contaminated_pairs(docs_df, items_df).collect()}
+    assert got == want and len(want) > 60
