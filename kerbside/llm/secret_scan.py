@@ -6,8 +6,9 @@ credential-context values, also short ones and ones with other characters, and
 adds a span of kind ``guess`` where guessing the value would cost
 ``min_cost`` orders of magnitude or more. The cost is the cheapest way to cut
 the value into words, dates, repeats, keyboard walks and brute-force spans,
-found by dynamic programming over its positions. Values inside a base
-``assign`` span are not reported again. Offsets are code points, ends
+found by dynamic programming over its positions. Values that a base ``assign``
+span covers whole are not reported again; one that goes on after the base span
+is scored whole and has its own span beside it. Offsets are code points, ends
 exclusive.
 
 Cases: a NULL text is an empty text and has no spans; values longer than
@@ -151,7 +152,7 @@ def all_spans(text: str, min_cost: float = 8.0) -> tuple[list, list]:
             a, b = m.span(1)
             while at < len(taken) and taken[at][1] <= a:
                 at += 1
-            if at < len(taken) and taken[at][0] < b:
+            if at < len(taken) and taken[at][0] <= a and b <= taken[at][1]:
                 continue
             if b - a > MAX_SCORED or guess_cost(text[a:b]) >= min_cost:
                 added.append((a, 3, b))

@@ -82,3 +82,13 @@ def test_redact_masks_and_keeps_rows(spark):
     assert ss.redact(spark.createDataFrame([], SCHEMA)).count() == 0
     for t in texts()[:300]:
         assert not any(k < 3 for _, k, _ in ss.all_spans(ss.masked(t), 99)[0]) or "SECRET" in ss.masked(t)
+
+
+def test_values_that_outlast_a_base_span_are_whole():
+    for value in ("Tr0ub4dor.horse!staple9#Zq", "abcdefghijkl1@Zq", "abcdefghijkl1$%&*~xK"):
+        text = f'password="{value}" and more'
+        base, spans = ss.all_spans(text)
+        assert [(k, b < 10 + len(value)) for _, k, b in base] == [(0, True)]
+        assert [text[a:b] for a, k, b in spans if k == 3] == [value]
+        assert ss.masked(text) == '[SECRET]" and more'
+    assert [k for _, k, _ in ss.all_spans('password="Tr0ub4dor.horse9" x')[1]] == [0]
