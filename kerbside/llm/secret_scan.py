@@ -11,9 +11,13 @@ span covers whole are not reported again; one that goes on after the base span
 is scored whole and has its own span beside it. Offsets are code points, ends
 exclusive.
 
-Cases: a NULL text is an empty text and has no spans; values longer than
-``MAX_SCORED`` are beyond guessing and reported without a cost; repeated rows
-each give a row; an empty table gives no rows; columns of other names pass
+A value in quotes goes up to its closing quote, blanks and all; a quote that is
+not closed before the next empty line opens none. A value without quotes ends at
+a blank, a quote, a bracket, a comma or a semicolon. Values of all lengths are
+scored; the cost alone decides.
+
+Cases: a NULL text is an empty text and has no spans; repeated rows each give a
+row; an empty table gives no rows; columns of other names pass
 ``redact`` unchanged and are not read by ``scan``.
 """
 
@@ -36,8 +40,14 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 HEX_LONG = re.compile(r"[0-9a-f]{16,}")
-#: Names that announce a credential, and what a value can be.
-CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|credential)s?["']?\x20*(?:=>|:=|[:=])\x20*["'`]?([^\s"'`,;<>(){}\[\]]{6,})""",
+#: Names that announce a credential, and the values that can follow: quoted (a
+#: backslash keeps a quote from closing, unless none would close then), or plain.
+_INSIDE = r"\n(?![\x20\t\r]*\n)|(?!(?P={0}))[^{1}\n]"
+CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api_?key|credential)s?["']?\x20*(?:=>|:=|[:=])\x20*(?:"""
+                     r"""(?P<q>\"{3}|'{3}|["'`])(?P<quoted>(?:\\[^\n]|""" + _INSIDE.format("q", r"\\") + r""")++)(?P=q)|"""
+                     r"""(?P<r>["'`])(?P<raw>(?:""" + _INSIDE.format("r", "") + r""")++)(?P=r)|"""
+                     r"""\u201c(?P<curly>(?:\n(?![\x20\t\r]*\n)|[^\u201c\u201d\n])++)\u201d|\u2018(?P<single>(?:\n(?![\x20\t\r]*\n)|[^\u2018\u2019\n])++)\u2019|"""
+                     r"""["'`]*(?P<plain>[^\s"'`,;<>(){}\[\]]+))""",
                      re.I | re.A)
 
 #: Words that guessers try first, most common first (fixed values).
@@ -49,7 +59,8 @@ COMMON_WORDS = ("password passwd pass admin root user guest test demo default ch
                 "sample dummy temp null none true false here your placeholder redacted hidden").split()
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("@4301!5$7", "aaeoiisst")
-MAX_SCORED = 128
+#: Runs of neighbouring code points: starts this far into one are never the cheapest.
+DEEP = 128
 
 
 def _near_keys() -> dict[str, str]:
@@ -76,23 +87,47 @@ def _alphabet(text: str) -> int:
     return max(size, 10)
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation needs."""
+def guess_cost(value: str, limit: float = math.inf) -> float:
+    """log10 of the guesses that the cheapest segmentation needs: exact below
+    ``limit``, and otherwise some number that is not below it.
+
+    Places that cost ``limit`` or more lead nowhere, which bounds the units of
+    repeats. How far a unit repeats, a character runs and neighbouring code
+    points go on is searched once for all starts. A character's run that starts
+    deep inside the run is dearer than the longer one from where the run was
+    entered, and a segment that ends inside a run, other than by the run's own
+    characters, ends within its own word's, date's or unit's length of the
+    run's start. So the time follows the length of the value."""
     n = len(value)
     if not n:
         return 0.0
     low, plain = value.lower(), value.lower().translate(LEET)
     per_char = math.log10(_alphabet(value))
     best = [0.0] + [math.inf] * n
+    reach = 0
+    run_from = run_to = way_from = way_to = 0
+    same: dict[int, int] = {}  # unit -> first place from the present one where the value differs from itself a unit later
+    deep = max(LONGEST_WORD, 10, n if limit == math.inf else int(limit / per_char) + 1)
 
     def offer(i: int, j: int, cost: float) -> None:
         # each segment beyond the first also has to be put in its place
-        best[j] = min(best[j], best[i] + cost + (math.log10(2) if i else 0.0))
+        nonlocal reach
+        cost += best[i] + (math.log10(2) if i else 0.0)
+        if cost < best[j]:
+            best[j] = cost
+            if j > reach and cost < limit:
+                reach = j
 
     for i in range(n):
+        if i > reach:
+            break
+        if best[i] >= limit:
+            continue
         offer(i, i + 1, per_char)  # brute force, a character at a time
-        if i:
-            best[i + 1] = min(best[i + 1], best[i] + per_char)
+        if i and best[i] + per_char < best[i + 1]:
+            best[i + 1] = best[i] + per_char
+            if best[i + 1] < limit:
+                reach = max(reach, i + 1)
         for j in range(i + 2, min(n, i + LONGEST_WORD) + 1):
             rank = RANK.get(low[i:j]) or RANK.get(plain[i:j])
             if rank:
@@ -102,30 +137,43 @@ def guess_cost(value: str) -> float:
         date = DATE.match(value, i)
         if date:
             offer(i, date.end(), math.log10(365.25 * 120 if date.end() - i > 4 else 120))
-        j = i + 1
-        while j < n and value[j] == value[i]:
-            j += 1
-        for k in range(i + 3, j + 1):
-            offer(i, k, per_char + math.log10(k - i))
-        for unit in range(2, (n - i) // 2 + 1):
-            k = i + unit
-            while value[k:k + unit] == value[i:i + unit]:
-                k += unit
-            if k > i + unit:
-                offer(i, k, unit * per_char + math.log10((k - i) // unit))
+        if i >= run_to:
+            run_from, run_to = i, i + 1
+            while run_to < n and value[run_to] == value[i]:
+                run_to += 1
+        if i - run_from <= deep:
+            for k in range(i + 3, run_to + 1):
+                offer(i, k, per_char + math.log10(k - i))
+        units = (n - i) // 2 if limit == math.inf else min((n - i) // 2, int((limit - best[i]) / per_char))
+        for unit in range(2, units + 1):
+            k = same.get(unit, -1)
+            if k < i:
+                k = i
+                while k + unit < n and value[k] == value[k + unit]:
+                    k += 1
+                same[unit] = k
+            times = 1 + (k - i) // unit
+            if times > 1:
+                offer(i, i + unit * times, unit * per_char + math.log10(times))
         j, step, turns = i + 1, 0, 0
         while j < n and low[j] in NEAR.get(low[j - 1], ""):
             way = ord(low[j]) - ord(low[j - 1])
             turns += j > i + 1 and way != step
+            if best[i] + turns * math.log10(4) >= limit:
+                break
             step = way
             j += 1
             if j - i >= 3:
                 offer(i, j, math.log10(len(NEAR)) + math.log10(j - i) + turns * math.log10(4))
-        j = i + 1
-        while j < n and abs(ord(low[j]) - ord(low[j - 1])) == 1 and (j == i + 1 or ord(low[j]) - ord(low[j - 1]) == ord(low[i + 1]) - ord(low[i])):
-            j += 1
-            if j - i >= 3:
-                offer(i, j, math.log10(2 * _alphabet(value[i])) + math.log10(j - i))
+        if i >= way_to - 1:
+            way_from, way_to = i, i + 1
+            while way_to < n and abs(ord(low[way_to]) - ord(low[way_to - 1])) == 1 and (
+                    way_to == i + 1 or ord(low[way_to]) - ord(low[way_to - 1]) == ord(low[i + 1]) - ord(low[i])):
+                way_to += 1
+        if i - way_from <= DEEP:
+            first = math.log10(2 * _alphabet(value[i]))
+            for k in range(i + 3, way_to + 1):
+                offer(i, k, first + math.log10(k - i))
     return best[n]
 
 
@@ -149,12 +197,12 @@ def all_spans(text: str, min_cost: float = 8.0) -> tuple[list, list]:
         taken = [(a, b) for a, kind, b in base if kind == 0]
         at = 0
         for m in CONTEXT.finditer(text):
-            a, b = m.span(1)
+            a, b = m.span(m.lastgroup)
             while at < len(taken) and taken[at][1] <= a:
                 at += 1
             if at < len(taken) and taken[at][0] <= a and b <= taken[at][1]:
                 continue
-            if b - a > MAX_SCORED or guess_cost(text[a:b]) >= min_cost:
+            if guess_cost(text[a:b], min_cost) >= min_cost:
                 added.append((a, 3, b))
     return base, sorted(base + added)
 

@@ -92,3 +92,68 @@ def test_values_that_outlast_a_base_span_are_whole():
         assert [text[a:b] for a, k, b in spans if k == 3] == [value]
         assert ss.masked(text) == '[SECRET]" and more'
     assert [k for _, k, _ in ss.all_spans('password="Tr0ub4dor.horse9" x')[1]] == [0]
+
+
+def test_quoted_values_go_to_the_closing_quote():
+    for text, value in (
+            ('passphrase: "correct horse battery staple" x', "correct horse battery staple"),
+            ("pwd = 'a;B(9$ kQ,z]' x", "a;B(9$ kQ,z]"), ("token: `zX 9!,Kq2` x", "zX 9!,Kq2"),
+            (r'"password": "zX9\"Kq 2!m", "x": "y"', r'zX9\"Kq 2!m'), ('pwd="C:\\Zq 9!k\\" x', 'C:\\Zq 9!k\\'),
+            ('secret = """zX9 "Kq" 2!m\nnext line""" x', 'zX9 "Kq" 2!m\nnext line'),
+            ("password: \u201ccorrect horse; staple\u201d x", "correct horse; staple"),
+            ('pwd: "zX9!Kq2m and no more\n\n"new" one', "zX9!Kq2m"), ("pwd: zX9!Kq2m, next", "zX9!Kq2m")):
+        assert [text[a:b] for a, k, b in ss.all_spans(text)[1] if k == 3] == [value], text
+        assert value not in ss.masked(text)
+    assert not ss.all_spans('password: "", token = "" secret: `` pwd=')[1]
+
+
+def test_cost_decides_at_any_length():
+    found = lambda t: [t[a:b] for a, k, b in ss.all_spans(t)[1] if k == 3]
+    assert found("pwd: aB3$x") == ["aB3$x"] and not found("pwd: abc") and not found("pwd: 12345")
+    for n in (20, 127, 128, 129, 5000, 100000):
+        assert not found("pwd: " + "*" * n) and not found("pwd: " + "ab" * n) and not found('pwd: "' + "- " * min(n, 9000) + '"')
+        assert len(found("pwd: " + "zX9!Kq2m" * n)) == 1
+    rnd = random.Random(2)
+    long = "".join(chr(rnd.randrange(33, 127)) for _ in range(100000)).translate({ord(c): "x" for c in "\"'`,;<>(){}[]"})
+    assert found("pwd: " + long) == [long]
+
+
+def plain_cost(value):
+    """The cheapest segmentation with each segment searched anew."""
+    n, low, leet, log = len(value), value.lower(), value.lower().translate(ss.LEET), ss.math.log10
+    per, best = log(ss._alphabet(value)), [0.0] + [1e9] * len(value)
+    for i in range(n):
+        place = log(2) if i else 0.0
+        best[i + 1] = min(best[i + 1], best[i] + per)
+        for j in range(i + 2, n + 1):
+            part, size, costs = value[i:j], j - i, []
+            rank = ss.RANK.get(low[i:j]) or ss.RANK.get(leet[i:j])
+            if rank:
+                costs.append(log(rank + 1) + (part != low[i:j]) * log(2) + (low[i:j] != leet[i:j]) * log(4))
+            date = ss.DATE.match(value, i)
+            if date and date.end() == j:
+                costs.append(log(365.25 * 120 if size > 4 else 120))
+            if size >= 3 and len(set(part)) == 1:
+                costs.append(per + log(size))
+            costs += [u * per + log(size // u) for u in range(2, size // 2 + 1) if size % u == 0 and part == part[:u] * (size // u)]
+            steps = [ord(y) - ord(x) for x, y in zip(low[i:j], low[i + 1:j])]
+            if size >= 3 and all(y in ss.NEAR.get(x, "") for x, y in zip(low[i:j], low[i + 1:j])):
+                costs.append(log(len(ss.NEAR)) + log(size) + sum(x != y for x, y in zip(steps, steps[1:])) * log(4))
+            if size >= 3 and len(set(steps)) == 1 and abs(steps[0]) == 1:
+                costs.append(log(2 * ss._alphabet(value[i])) + log(size))
+            if costs:
+                best[j] = min(best[j], best[i] + min(costs) + place)
+    return best[n]
+
+
+def test_bounded_search_finds_the_plain_cost():
+    rnd = random.Random(9)
+    parts = ["a", "aa", "*", "****", "ab", "xyz", "pass", "P4ss", "qwe", "hjk", "2024", "20240131", "1", "123", "Z", "!", "null", "lll", "ss"]
+    for _ in range(400):
+        v = "".join(rnd.choice(parts) * rnd.choice((1, 1, 2, 7)) for _ in range(rnd.randint(1, 6)))
+        want = plain_cost(v)
+        assert (ss.guess_cost(v, 8.0) >= 8.0) == (want >= 8.0 - 1e-12), v
+        if want < 8.0:
+            assert abs(ss.guess_cost(v, 8.0) - want) < 1e-9, v
+        if len(v) < 40:
+            assert ss.guess_cost(v) >= want - 1e-9, v
