@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

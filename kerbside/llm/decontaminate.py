@@ -13,9 +13,12 @@ Smith-Waterman over words (match 1, mismatch and gap -1); the score is divided
 by the item's length. ``min_score`` 0.5 is met by a copy with a quarter of its
 words replaced, or by half of an item.
 
-Words are lower-cased and freed of ASCII punctuation. Cases: NULL or empty
-texts and items have no words and match nothing; items of fewer than
-``seed_words`` words are too short to tell a leak and match nothing; items
+Words are lower-cased and end at Unicode white space, punctuation and control
+characters; format characters such as soft hyphens are left out. A character of
+a script that is written without blanks (Chinese, Japanese, Thai and others) is
+a word. Cases: NULL or empty texts and items have no words and match nothing;
+items of fewer than ``seed_words`` words match nothing, or with ``short_items``
+the documents that hold all their words in sequence; items
 with equal words are searched once and all reported; repeated rows are all
 reported; an empty table on either side gives no pairs; other columns pass
 ``drop_contaminated`` unchanged under any name.
@@ -23,7 +26,10 @@ reported; an empty table on either side gives no pairs; other columns pass
 
 from __future__ import annotations
 
+import re
 import string
+import sys
+import unicodedata
 from collections import defaultdict
 from functools import reduce
 from itertools import repeat
@@ -35,11 +41,40 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import as_bytes, slices, text_of
 
-BLANKED = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
+#: ASCII punctuation and controls as blanks.
+_BLANK = string.punctuation.encode() + bytes([*range(32), 127])
+BLANKED = bytes.maketrans(_BLANK, b" " * len(_BLANK))
+
+
+def _category_class(wanted) -> str:
+    """All characters whose category is wanted, as ranges of a character class."""
+    out, start = [], None
+    for c in range(0x80, sys.maxunicode + 2):
+        inside = c <= sys.maxunicode and wanted(unicodedata.category(chr(c)))
+        if inside and start is None:
+            start = c
+        elif not inside and start is not None:
+            out.append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start = None
+    return "".join(out)
+
+
+#: Scripts written without blanks: Thai, Lao, Myanmar, Khmer, Tai Le, New Tai Lue, Tai Tham, Balinese, Han with its
+#: radicals and marks, Kana, Bopomofo, Yi, Javanese, Myanmar and Tai Viet extensions, half-width Kana, Han extensions.
+UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029"
+            "\u3031-\u3035\u3038-\u303c\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\ua000-\ua4cf"
+            "\ua980-\ua9ff\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U0001aff0-\U0001b16f\U00020000-\U0003ffff")
+#: White space, punctuation and controls end a word, and so does the zero-width space; other format characters are dropped.
+_ENDS = re.escape(string.punctuation) + "\\x00-\\x20\\x7f\u200b" + _category_class(lambda c: c[0] in "PZ" or c == "Cc")
+WORD = re.compile(f"(?![{_ENDS}])[{UNSPACED}]|[^{_ENDS}{UNSPACED}]+")
+FORMAT = re.compile("(?!\u200b)[" + _category_class(lambda c: c == "Cf") + "]+")
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
-    return text_of(raw).lower().encode().translate(BLANKED).split()
+    text = text_of(raw).lower()
+    if text.isascii():
+        return text.encode().translate(BLANKED).split()
+    return [w.encode("utf-8", "replace") for w in WORD.findall(FORMAT.sub("", text))]
 
 
 def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
@@ -75,11 +110,11 @@ def portions(sizes: np.ndarray, most: int = 1 << 20):
 class Block:
     """Benchmark items of one block: vocabulary, words and seeds."""
 
-    def __init__(self, items: list[tuple[object, list[bytes]]], seed_words: int):
+    def __init__(self, items: list[tuple[object, list[bytes]]], seed_words: int, short_items: bool = False):
         self.n = seed_words
         by_words: dict[tuple, list] = defaultdict(list)
         for item_id, words in items:
-            if len(words) >= seed_words:
+            if len(words) >= (1 if short_items else seed_words):
                 by_words[tuple(words)].append(item_id)
         self.vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for ws in by_words for w in ws), 1)}
         self.base = len(self.vocabulary) + 1
@@ -102,6 +137,25 @@ class Block:
         self.seeds, first = np.unique(codes[order], return_index=True)
         self.first = np.append(first, len(order))
         self.at_item, self.at_offset = item[order], (at - self.starts[item])[order]
+        #: Items shorter than a seed: length -> first word -> items.
+        self.short: dict[int, dict[int, list[int]]] = {}
+        for i in np.flatnonzero(self.sizes < self.n).tolist():
+            self.short.setdefault(int(self.sizes[i]), {}).setdefault(int(self.item(i)[0]), []).append(i)
+
+    def short_matches(self, numbers: np.ndarray) -> list[tuple]:
+        """The items shorter than a seed that the document has word for word,
+        at their first place."""
+        out = []
+        for size, by_word in self.short.items():
+            for word in np.intersect1d(numbers, np.array(list(by_word), np.int64)).tolist():
+                at = np.flatnonzero(numbers[:max(len(numbers) - size + 1, 0)] == word)
+                for one in by_word[word]:
+                    same = at
+                    for k, w in enumerate(self.item(one).tolist()):
+                        same = same[numbers[same + k] == w]
+                    if same.size:
+                        out.append((self.ids[one], 1.0, size, int(same[0]), int(same[0]) + size))
+        return out
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.array(list(map(self.vocabulary.get, words, repeat(0))), np.int64)
@@ -195,32 +249,32 @@ class Block:
             if score >= min_score * len(target) and score > found.get(one, (0,))[0]:
                 back = smith_waterman(target[:i][::-1], stretch[:j][::-1])
                 found[one] = (score, a + j - back[2], a + j)
-        return [(self.ids[one], best[0] / int(self.sizes[one]), *best) for one, best in found.items()]
+        return [*((self.ids[one], best[0] / int(self.sizes[one]), *best) for one, best in found.items()), *self.short_matches(numbers)]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, seed_words: int, block_bytes: int):
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, seed_words: int, block_bytes: int, short_items: bool):
     """Items in blocks of about ``block_bytes``; the driver holds one block."""
     held, size = [], 0
     for row in benchmark.select(F.col(id_col).alias("i"), as_bytes(text_col).alias("t")).toLocalIterator():
         raw = bytes(row.t) if row.t is not None else b""
         if held and size + len(raw) > block_bytes:
-            yield Block(held, seed_words)
+            yield Block(held, seed_words, short_items)
             held, size = [], 0
         held.append((row.i, words_of(raw)))
         size += len(raw)
     if held:
-        yield Block(held, seed_words)
+        yield Block(held, seed_words, short_items)
 
 
 def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text", seed_words: int = 3,
-                       min_score: float = 0.5, block_bytes: int = 2 << 20) -> DataFrame:
+                       min_score: float = 0.5, block_bytes: int = 2 << 20, short_items: bool = False) -> DataFrame:
     """(id, item, score, start_word, end_word) of each document that holds an
     item, at its best place."""
     types = [d.select(F.col(c).alias("i")).schema["i"].dataType for d, c in ((docs, id_col), (benchmark, item_col))]
     schema = f"row {types[0].simpleString()}, item {types[1].simpleString()}, score double, start_word long, end_word long"
     found = []
-    for block in _blocks(benchmark, item_col, item_text_col, seed_words, block_bytes):
+    for block in _blocks(benchmark, item_col, item_text_col, seed_words, block_bytes, short_items):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def search(batches, shared=shared):
@@ -250,11 +304,11 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       item_text_col: str = "text", seed_words: int = 3, min_score: float = 0.5,
-                      block_bytes: int = 2 << 20) -> DataFrame:
+                      block_bytes: int = 2 << 20, short_items: bool = False) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns. Rows pass
     the search of each block in turn and are never joined or moved."""
     packed = docs.select(F.struct("*").alias("whole"), as_bytes(text_col).alias("raw"))
-    for block in _blocks(benchmark, item_col, item_text_col, seed_words, block_bytes):
+    for block in _blocks(benchmark, item_col, item_text_col, seed_words, block_bytes, short_items):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches, shared=shared):

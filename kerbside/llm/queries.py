@@ -64,7 +64,8 @@ def op10_secret_scan(spark, sf_dir):
 
 @register("op4_decontaminate")
 def op4_decontaminate(spark, sf_dir):
-    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.contaminated_pairs(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                            short_items=True)
 
 
 @register("op7_token_counts")

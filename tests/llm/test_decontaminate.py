@@ -121,3 +121,18 @@ def test_common_phrase_in_many_items(spark):
     want = {(d, i): brute_sw(x, w) / len(x) for d, w in enumerate(docs) for i, x in enumerate(items) if brute_sw(x, w) >= 0.5 * len(x)}
     got = {(r.doc_id, r.item_id): r.score for r in dc.contaminated_pairs(docs_df, items_df).collect()}
     assert got == want and len(want) > 60
+
+
+def test_words_of_all_scripts(spark):
+    han, thai = "敏捷的棕色狐狸跳过了懒狗", "สวัสดีชาวโลก"
+    items = [(1, han), (2, thai), (3, "it’s one “quoted” passage — with dashes"), (4, "naïve café owners weigh soft sugar"), (5, "東京"), (6, "Kilimanjaro")]
+    docs = [(1, "前言" + han + "。后记", "zh", 0.0), (2, "ก " + thai + "ๆ", "th", 0.0), (3, "x it s one 'quoted' passage with dashes é", "en", 0.0),
+            (4, "x\u00a0naïve\u3000café\u2003owners\u00a0weigh\u00a0soft\u00a0su\u00adgar\u2028y", "fr", 0.0), (5, "私は東京に住む", "ja", 0.0),
+            (6, "京東 kilimanjaros", "ja", 0.0), (7, "up Kilimanjaro!", "en", 0.0), (8, han[:4] + "别的" + han[6:], "zh", 0.0)]
+    docs_df, items_df = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    got = {(r.doc_id, r.item_id): r.score for r in dc.contaminated_pairs(docs_df, items_df, short_items=True).collect()}
+    assert got == {(1, 1): 1.0, (2, 2): 1.0, (3, 3): 1.0, (4, 4): 1.0, (5, 5): 1.0, (7, 6): 1.0, (8, 1): 8 / 12}
+    assert {r.doc_id for r in dc.drop_contaminated(docs_df, items_df, short_items=True).collect()} == {6}
+    assert {r.item_id for r in dc.contaminated_pairs(docs_df, items_df).collect()} == {1, 2, 3, 4}
+    for text in ("a.b\tc\x0bd\x00e_f", "A $5 [x]"):  # one rule with and without other characters
+        assert dc.words_of((text + " é").encode()) == [*dc.words_of(text.encode()), "é".encode()]
