@@ -8,8 +8,9 @@
   row out of fitting and scoring.
 * M8: MAE and R^2 from one aggregate pass over the test predictions.
 * M9: exact Shapley values of the four features. The value of a coalition is
-  the model's mean prediction with the coalition's features from the row and
-  the others from each point of a background sample of training rows. The
+  the model's weighted mean prediction with the coalition's features from the
+  row and the others from each point of a background sample of the distinct
+  training points, whose weights are the rows that have them. The
   coalition inputs are built as vector columns of the *same* row and scored by
   chained ``transform`` calls (all narrow, no shuffle, no join), so
   contributions + base value = prediction for every row, labelled or not.
@@ -41,8 +42,8 @@ DEPTH = 6
 STEP = 0.3
 # Fill for a missing feature; the features are ages, distances, litres and a flag.
 MISSING = -1.0e6
-# Points of the background sample of M9.
-BACKGROUND = 3
+# Distinct points of the background sample of M9.
+BACKGROUND = 16
 # Training partitions: one per 50,000 rows up to the task slots, then one per
 # 2,000,000 rows; each tree level is a job, so small inputs want few tasks.
 SMALL_PARTITION_ROWS = 50_000
@@ -116,30 +117,53 @@ def _mask_name(mask: int) -> str:
     return f"__p{mask}"
 
 
+def weighted_background(train: DataFrame, n: int, features: Sequence[str] = FEATURES, label: str = LABEL,
+                        seed: int = SEED) -> list[tuple[list[float], float]]:
+    """Background sample for M9: up to ``n`` distinct training points, each with
+    its weight. The commonest n // 2 points stand for their own rows; the other
+    points are picked by hash order and share the rows of all the rest in
+    proportion to their own. Bounded top-n, stable across runs and
+    partitionings; copies of a row are one point."""
+    names = [f"__x_{c}" for c in features]
+    points = labelled_input(train, features, label).groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).persist()
+    try:
+        key = F.xxhash64(F.lit(seed), *names)
+        rows = points.agg(F.sum("__n")).first()[0] or 0
+        common = points.orderBy(F.desc("__n"), key, *names).limit(n // 2).collect()
+        held = {tuple(r[c] for c in names) for r in common}
+        # the common points may be among the smallest hashes: at most n // 2 of n + n // 2
+        rest = [r for r in points.orderBy(key, *names).limit(n + n // 2).collect() if tuple(r[c] for c in names) not in held]
+        rest = rest[:n - len(common)]
+    finally:
+        points.unpersist()
+    own = sum(r["__n"] for r in rest)
+    share = (rows - sum(r["__n"] for r in common)) / own if own else 1.0
+    return [([float(r[c]) for c in names], r["__n"] * (share if i >= len(common) else 1.0)) for i, r in enumerate([*common, *rest])]
+
+
 def background_points(train: DataFrame, n: int, features: Sequence[str] = FEATURES, label: str = LABEL,
                       seed: int = SEED) -> list[list[float]]:
-    """``n`` training rows picked by hash order (a bounded top-n, stable
-    across runs and partitionings) as a background sample for M9."""
-    data = labelled_input(train, features, label)
-    key = F.xxhash64(F.lit(seed), *[F.col(f"__x_{c}") for c in features], F.col("__label"))
-    rows = data.orderBy(key).limit(n).select(*[f"__x_{c}" for c in features]).collect()
-    return [[float(v) for v in r] for r in rows]
+    """The points of ``weighted_background``."""
+    return [p for p, _ in weighted_background(train, n, features, label, seed)]
 
 
 def price_attribution(model: GBTRegressionModel, rows: DataFrame,
                       reference: Sequence[float] | Sequence[Sequence[float]],
-                      features: Sequence[str] = FEATURES, label: str = LABEL) -> DataFrame:
+                      features: Sequence[str] = FEATURES, label: str = LABEL,
+                      weights: Sequence[float] | None = None) -> DataFrame:
     """M9: per row, ``phi_<feature>`` for each feature, ``base_value`` and
     ``prediction``; additive by construction: sum(phi) + base_value ==
     prediction.
 
-    ``reference`` is one point or a list of background points; the value of a coalition S is the model's mean
-    prediction with the features in S taken from the row and the others
-    from each background point. Cost: 2^4 x (number of points) narrow model
+    ``reference`` is one point or a list of background points, of equal
+    ``weights`` if none are given; the value of a coalition S is the model's
+    weighted mean prediction with the features in S taken from the row and the
+    others from each background point. Cost: 2^4 x (number of points) narrow model
     passes over ``rows``; no join, no shuffle.
     """
     n = len(features)
     points = [list(reference)] if isinstance(reference[0], (int, float)) else [list(p) for p in reference]
+    share = [w / sum(weights) for w in weights] if weights else [1.0 / len(points)] * len(points)
     data = model_input(rows, features, label)
     x = [F.col(f"__x_{c}") for c in features]
     scored = data
@@ -151,7 +175,8 @@ def price_attribution(model: GBTRegressionModel, rows: DataFrame,
             m = model.copy().setFeaturesCol("__vec").setPredictionCol(f"__p{mask}_{b}")
             scored = m.transform(scored).drop("__vec")
             preds.append(F.col(f"__p{mask}_{b}"))
-        mean = preds[0] if len(preds) == 1 else sum(preds[1:], preds[0]) / F.lit(float(len(preds)))
+        terms = [p * F.lit(float(w)) for p, w in zip(preds, share)]
+        mean = preds[0] if len(preds) == 1 else sum(terms[1:], terms[0])
         scored = scored.withColumn(_mask_name(mask), mean).drop(*[f"__p{mask}_{b}" for b in range(len(points))])
     phis: dict[str, Column] = {}
     for i, name in enumerate(features):
@@ -185,7 +210,8 @@ class PriceModelRun:
     @property
     def attributions(self) -> DataFrame:
         """M9 for every test row, against the background sample."""
-        return price_attribution(self.model, self.test, background_points(self.train, self.background, seed=self.seed))
+        points, weights = zip(*weighted_background(self.train, self.background, seed=self.seed))
+        return price_attribution(self.model, self.test, points, weights=weights)
 
 
 def run_price_model(fact: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED,

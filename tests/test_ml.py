@@ -152,3 +152,23 @@ def test_missing_labels_and_features_keep_their_rows(spark):
     assert all(abs(r.base_value + sum(r[f"phi_{f}"] for f in pricing.FEATURES) - r.prediction) < 1e-6 for r in rows)
     assert run.metrics.first().n == sum(r.price is not None for r in rows)
     assert pricing.labelled_input(run.train).count() == run.train.where("price IS NOT NULL").count()
+
+
+def test_background_weighs_distinct_points_by_their_rows(spark):
+    from pyspark.sql import functions as F
+
+    fact = _fact(spark, 200)
+    hot = fact.limit(1).crossJoin(spark.range(100)).drop("id").withColumn("id", F.lit("hot")).select(fact.columns)
+    train = fact.unionByName(hot)  # one row is a third of all
+    for n in (3, 16, 500):
+        found = pricing.weighted_background(train, n)
+        points, weights = [tuple(p) for p, _ in found], [w for _, w in found]
+        assert len(set(points)) == len(points) == min(n, 200) and abs(sum(weights) - 300) < 1e-6
+        assert max(weights) == 101 if n > 3 else 101 in weights
+    assert found == pricing.weighted_background(train.repartition(5), 500)
+    model = pricing.train_price_model(train, trees=3, depth=2)
+    points, weights = zip(*pricing.weighted_background(train, 8))
+    base = pricing.price_attribution(model, fact.limit(2), points, weights=weights).first().base_value
+    rows = [(f"p{i}", 0.0, int(p[0]), int(p[1]), p[2], bool(p[3])) for i, p in enumerate(points)]
+    told = {r.id: r.prediction for r in pricing.predict(model, spark.createDataFrame(rows, fact.schema)).collect()}
+    assert abs(base - sum(told[f"p{i}"] * w for i, w in enumerate(weights)) / sum(weights)) < 1e-6
