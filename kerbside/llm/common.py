@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (loads pa.compute)
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kerbside.session import scratch_path
@@ -51,3 +51,22 @@ def slices(batches: Iterable[pa.RecordBatch], size_column: int, max_bytes: int =
             held += n
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``rank``, the row's place (from 0) in the whole order, and
+    no task that sees all rows: a range partitioning, sorted within partitions
+    and written once; a row's rank is its partition's offset, from one count
+    per partition, plus its place in it. Rows that tie in ``order`` are ranked
+    as they are stored, and a very common key is spread over partitions. Pass
+    a settled table, whose stored order is fixed."""
+    tied = df.withColumn("tie", F.monotonically_increasing_id())
+    by = [*order, F.col("tie")]
+    place = F.monotonically_increasing_id()
+    placed = settle(tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("tie").withColumns(
+        {"part": F.shiftright(place, 33), "place": place.bitwiseAND(F.lit((1 << 33) - 1))}), name)
+    counts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    # One row per partition of the sort: bounded by the partition count.
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")
+    return (placed.join(F.broadcast(counts.select("part", before.alias("before"))), "part")
+            .withColumn("rank", F.col("before") + F.col("place")).drop("part", "place", "before"))

@@ -58,3 +58,39 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(p) AS payload_digest,
        CASE WHEN revisit THEN top END AS refers_to
 FROM judged
 """
+
+# The capped sources are a prefix of the sources by words per weight: the
+# shortest one beyond which no share is over its cap.
+ORACLE["op13_source_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT AS size
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, ((row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight,
+         sum(source_size) OVER () AS total FROM sources),
+prefixes AS (
+  SELECT *, total - 3 * sum(source_size) OVER before AS free_with,
+         sum(weight) OVER () - sum(weight) OVER before AS weight_with,
+         row_number() OVER before AS k
+  FROM weighed WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+shares AS (
+  SELECT source, source_size, weight, k, (free_with + 3 * source_size)::DOUBLE AS free, weight_with + weight AS open_weight
+  FROM prefixes),
+level AS (
+  SELECT free, open_weight, k FROM shares WHERE NOT free * weight / open_weight > 3.0 * source_size ORDER BY k LIMIT 1),
+goal AS (
+  SELECT s.source, s.source_size,
+         CASE WHEN l.k IS NULL OR s.k < l.k THEN 3.0::DOUBLE * s.source_size ELSE l.free * s.weight / l.open_weight END AS target,
+         l.k IS NULL OR s.k < l.k AS held
+  FROM shares s LEFT JOIN level l ON TRUE),
+rated AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0.0::DOUBLE WHEN held THEN 3.0::DOUBLE
+                 ELSE least(target / source_size, 3.0::DOUBLE) END AS rate
+  FROM goal)
+SELECT doc_id, size, source_size, target,
+       (size * (floor(rate) + CASE WHEN ('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE
+                                        / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM sized d JOIN rated r ON d.source IS NOT DISTINCT FROM r.source
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import (bpe, decontaminate, language_id, quality_rules, secret_scan, sharding, simhash,
+from kerbside.llm import (bpe, decontaminate, language_id, mixing, quality_rules, secret_scan, sharding, simhash,
                           token_counts, url_filter, warc)
 from kerbside.llm.common import read_table
 
@@ -77,3 +77,8 @@ def op7_token_counts(spark, sf_dir):
 @register("op8_language_id")
 def op8_language_id(spark, sf_dir):
     return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+@register("op13_source_mix")
+def op13_source_mix(spark, sf_dir):
+    return mixing.copies(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
