@@ -65,10 +65,13 @@ def test_hot_source_copies_and_repeated_rows(spark):
     docs += [(7, "same text here", "hot")] * 5
     want = brute(docs)
     assert got(spark, docs) == want
-    by_source = defaultdict(lambda: [0.0, 0])
-    for _, n, size, target, taken in want:
-        by_source[size, target][1] += taken
-    assert all(abs(t - target) < 0.25 * target for (_, target), (_, t) in by_source.items())
+    taken, spread, goal = Counter(), Counter(), {}
+    for r in mixing.copies(frame(spark, docs)).collect():
+        taken[r.source] += r.taken
+        spread[r.source] += r["size"] ** 2 / 4
+        goal[r.source] = r.target
+    assert all(abs(taken[s] - goal[s]) <= 4 * spread[s] ** 0.5 for s in goal)
+    assert abs(taken["hot"] - goal["hot"]) < 0.1 * goal["hot"]
 
 
 def test_mixed_emits_whole_rows(spark):
