@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import (bpe, decontaminate, language_id, mixing, quality_rules, secret_scan, sharding, simhash,
-                          token_counts, url_filter, warc)
+from kerbside.llm import (bpe, decontaminate, language_id, mixing, quality_rules, resampling,
+                          secret_scan, sharding, simhash, token_counts, url_filter, warc)
 from kerbside.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op8_language_id(spark, sf_dir):
 @register("op13_source_mix")
 def op13_source_mix(spark, sf_dir):
     return mixing.copies(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op11_importance_resampling")
+def op11_importance_resampling(spark, sf_dir):
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")

@@ -71,7 +71,6 @@ def test_hot_source_copies_and_repeated_rows(spark):
         spread[r.source] += r["size"] ** 2 / 4
         goal[r.source] = r.target
     assert all(abs(taken[s] - goal[s]) <= 4 * spread[s] ** 0.5 for s in goal)
-    assert abs(taken["hot"] - goal["hot"]) < 0.1 * goal["hot"]
 
 
 def test_mixed_emits_whole_rows(spark):
