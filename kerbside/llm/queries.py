@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import (bpe, decontaminate, language_id, mixing, quality_rules, resampling,
-                          secret_scan, sharding, simhash, token_counts, url_filter, warc)
+from kerbside.llm import (bpe, decontaminate, language_id, mixing, periodic_runs, quality_rules,
+                          resampling, secret_scan, sharding, simhash, token_counts, url_filter, warc)
 from kerbside.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ def op13_source_mix(spark, sf_dir):
 def op11_importance_resampling(spark, sf_dir):
     return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_features", "weight", "score", "rank")
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    docs = periodic_runs.with_planted_runs(read_table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
