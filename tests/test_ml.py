@@ -154,6 +154,90 @@ def test_missing_labels_and_features_keep_their_rows(spark):
     assert pricing.labelled_input(run.train).count() == run.train.where("price IS NOT NULL").count()
 
 
+def _brute_attribution(run, row, points=None, weights=None):
+    """Shapley values by walking every tree for every coalition."""
+    from itertools import combinations
+    from math import factorial
+
+    model, n = run.model, len(pricing.FEATURES)
+    trees, tree_weights = model.nodes(), model.trees.treeWeights
+
+    def bins(values):
+        filled = [pricing.MISSING if v is None else float(v) for v in values]
+        return [sum(v >= c for c in cuts[1:-1]) for v, cuts in zip(filled, model.cuts)]
+
+    def walk(nodes, at, x, known):
+        node = nodes[at]
+        if node.leftChild < 0:
+            return node.prediction
+        f, cut = node.split.featureIndex, node.split.leftCategoriesOrThreshold[0]
+        if f in known:
+            return walk(nodes, node.leftChild if x[f] <= cut else node.rightChild, x, known)
+        return sum(nodes[c].impurityStats[0] / node.impurityStats[0] * walk(nodes, c, x, known) for c in (node.leftChild, node.rightChild))
+
+    def value(known):
+        x = bins(row)
+        if points is None:
+            return sum(w * walk(t, 0, x, known) for w, t in zip(tree_weights, trees))
+        total = 0.0
+        for p, share in zip(points, weights):
+            mixed = [a if f in known else b for f, (a, b) in enumerate(zip(x, bins(p)))]
+            total += share / sum(weights) * sum(w * walk(t, 0, mixed, set(range(n))) for w, t in zip(tree_weights, trees))
+        return total
+
+    phis = []
+    for i in range(n):
+        rest = [j for j in range(n) if j != i]
+        phis.append(sum(factorial(k) * factorial(n - k - 1) / factorial(n) * (value({*s, i}) - value(set(s)))
+                        for k in range(n) for s in combinations(rest, k)))
+    return [*phis, value(set()), value(set(range(n)))]
+
+
+def test_attributions_are_shapley_values_of_the_trees(spark):
+    fact = _fact(spark, 300).withColumns({
+        "engine_size": F.when(F.col("mileage") % 4 > 0, F.col("engine_size")),
+        "is_ulez_compliant": F.when(F.col("mileage") % 7 > 0, F.col("is_ulez_compliant"))})
+    run = pricing.run_price_model(fact, trees=6, depth=4)
+    names = [f"phi_{f}" for f in pricing.FEATURES] + ["base_value", "prediction"]
+    told = {r.id: r.prediction for r in pricing.predict(run.model, run.test).collect()}
+    got = run.attributions.collect()
+    assert len(got) == len(told) > 20
+    for r in got[:25]:
+        assert np.allclose([r[c] for c in names], _brute_attribution(run, [r[f] for f in pricing.FEATURES]))
+    assert all(abs(r.prediction - told[r.id]) < 1e-6 for r in got)
+    # the same from many small tables as from one
+    small = {r.id: [r[c] for c in names] for r in pricing.price_attribution(run.model, run.test, max_cells=1500).collect()}
+    assert all(np.allclose(small[r.id], [r[c] for c in names]) for r in got)
+    assert len(pricing.shapley_tables(run.model, max_cells=1500)) > 1
+    points, weights = zip(*pricing.weighted_background(run.train, 5))
+    for r in pricing.price_attribution(run.model, run.test.limit(8), points, weights=weights).collect():
+        assert np.allclose([r[c] for c in names], _brute_attribution(run, [r[f] for f in pricing.FEATURES], points, weights))
+
+
+def test_cells_hold_all_labelled_rows_and_give_the_trees_of_the_rows(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    fact = _fact(spark, 1500).withColumn("mileage", (F.col("mileage") % 13).cast("int"))
+    cuts = pricing.feature_cuts(pricing.labelled_input(fact))
+    assert [len(c) for c in cuts] == [21, 15, 5, 4]  # 19 ages, 13 distances, 3 sizes, 2 flags, and the missing value's bin
+    cells = pricing.training_cells(fact, cuts)
+    assert cells.agg(F.sum("__n")).first()[0] == 1500 and cells.count() < 1500
+    model = pricing.train_price_model(fact, trees=5, depth=3)
+    rows = pricing._assembler(pricing.FEATURES).transform(model.binned(pricing.labelled_input(fact)))
+    whole = GBTRegressor(featuresCol="features", labelCol="__label", maxIter=5, maxDepth=3, stepSize=pricing.STEP, seed=42, maxBins=32).fit(
+        rows.coalesce(1))
+    one = {r.id: r.prediction for r in whole.transform(rows).collect()}
+    assert all(abs(one[r.id] - r.prediction) < 1e-6 for r in pricing.predict(model, fact).collect())
+
+
+def test_many_valued_features_are_cut_at_equal_shares(spark):
+    df = spark.range(20000).selectExpr("cast(id as double) AS __x_a", f"if(id % 10 = 0, {pricing.MISSING}, cast(id % 3 as double)) AS __x_b")
+    a, b = pricing.feature_cuts(df, ["a", "b"])
+    assert len(a) == 33 and b == [-float("inf"), pricing.MISSING / 2, 1.0, 2.0, float("inf")]
+    sizes = pricing._binned(df, ["a", "b"], [a, b]).groupBy("__b_a").count().collect()
+    assert len(sizes) == 31 and all(550 < r["count"] < 750 for r in sizes)
+
+
 def test_background_weighs_distinct_points_by_their_rows(spark):
     from pyspark.sql import functions as F
 
