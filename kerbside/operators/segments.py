@@ -30,6 +30,8 @@ FEATURES = ("PRICE", "MILEAGE", "YEAR")
 K_RANGE = tuple(range(2, 8))
 RESTARTS = 10
 MAX_ITER = 300
+# A fit ends when the squared shifts of its centres sum to no more than this
+# share of the features' variance, which is 1 once they are scaled.
 TOLERANCE = 1e-4
 SEED = 42
 FALLBACK_K = 3
@@ -90,7 +92,8 @@ def weighted_points(scaled: DataFrame, features: Sequence[str] = FEATURES, col:
 
 
 def _fit(points: DataFrame, k: int, seed: int, max_iter: int, col: str) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=TOLERANCE, featuresCol=col, weightCol="weight",
+    # Spark's limit is on each centre's own shift.
+    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=(TOLERANCE / k) ** 0.5, featuresCol=col, weightCol="weight",
                   predictionCol="__cluster").fit(points)
 
 

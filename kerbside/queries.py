@@ -333,14 +333,16 @@ def q_price_attribution(spark, sf_dir):
 @register("price_attribution_totals")
 def q_price_attribution_totals(spark, sf_dir):
     """Every test row, labelled or not, is attributed, and its contributions
-    and base value add up to its prediction (fewer trees than the model's)."""
-    run = pricing.run_price_model(shared_fact(spark, sf_dir), trees=5, depth=4, background=2, key=SPLIT_KEY)
+    and base value add up to the prediction that the trees themselves give."""
+    run = pricing.run_price_model(shared_fact(spark, sf_dir), key=SPLIT_KEY)
     total = F.col("base_value")
     for f in pricing.FEATURES:
         total = total + F.col(f"phi_{f}")
-    return run.attributions.agg(
+    scored = pricing.predict(run.model, pricing.price_attribution(run.model, run.test).withColumnRenamed("prediction", "explained"))
+    return scored.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("price").alias("n_labelled"),
-        F.count(F.when(F.abs(total - F.col("prediction")) < 1e-6, 1)).alias("n_additive"))
+        F.count(F.when((F.abs(total - F.col("explained")) < 1e-6) & (F.abs(F.col("explained") - F.col("prediction")) < 1e-6), 1))
+        .alias("n_additive"))
 
 
 @register("score_regression")
@@ -368,7 +370,7 @@ def _segment_totals(clusters: DataFrame, cols) -> DataFrame:
 
 @register("segment_market_totals")
 def q_segment_market_totals(spark, sf_dir):
-    clusters = segments.segment_market(spark, shared_silver(spark, sf_dir), restarts=2).clusters
+    clusters = segments.segment_market(spark, shared_silver(spark, sf_dir)).clusters
     ends = F.when(F.col("IS_ULEZ_COMPLIANT"), " (Compliant)").otherwise(" (Non-Compliant)")
     suffix = F.when(~F.col("CLUSTER_NAME").endswith(ends), 1)
     return _segment_totals(clusters, [
@@ -379,7 +381,7 @@ def q_segment_market_totals(spark, sf_dir):
 @register("segment_market_fixed_k_totals")
 def q_segment_market_fixed_k_totals(spark, sf_dir):
     s = shared_silver(spark, sf_dir).select("brand", "model", "year", "price", "mileage", "is_ulez_compliant")
-    clusters = segments.segment_market(spark, segments.drop_incomplete(s), k=3, restarts=2, name=False).clusters
+    clusters = segments.segment_market(spark, segments.drop_incomplete(s), k=3, name=False).clusters
     return _segment_totals(clusters, [F.count_distinct("CLUSTER_ID").alias("n_clusters"),
                                       F.count_distinct("CLUSTER_NAME").alias("n_names")])
 
@@ -387,7 +389,7 @@ def q_segment_market_fixed_k_totals(spark, sf_dir):
 @register("select_k_totals")
 def q_select_k_totals(spark, sf_dir):
     """Each K of the range is scored once, and its score is a silhouette."""
-    seg = segments.segment_market(spark, shared_silver(spark, sf_dir), restarts=1)
+    seg = segments.segment_market(spark, shared_silver(spark, sf_dir))
     return seg.report.agg(
         F.count(F.lit(1)).alias("n_ks"), F.sum("k").alias("sum_ks"),
         F.count(F.when((F.col("silhouette") < -1) | (F.col("silhouette") > 1) | (F.col("cost") < 0), 1)).alias("n_bad_scores"))
@@ -638,7 +640,7 @@ def q_evolve_schema(spark, sf_dir):
 def q_run_segmentation(spark, sf_dir):
     root = scratch_path(spark, "lake")
     write_layer(silver(spark, sf_dir, stamp=True), f"{root}/silver", read_back=False)
-    out = medallion.run_segmentation(spark, f"{root}/silver", f"{root}/clusters", restarts=2)
+    out = medallion.run_segmentation(spark, f"{root}/silver", f"{root}/clusters")
     return out.select("ID", "BRAND", "PRICE", "IS_ULEZ_COMPLIANT", F.col("CLUSTER_NAME").isNotNull().alias("NAMED"))
 
 
