@@ -4,8 +4,9 @@ functions only.
 A rule ``host/path`` fits its host and all subdomains if the url's path starts
 with the rule's path; the longest rule that fits decides. Urls that a rule
 decides are the labelled urls: gradient-boosted trees are trained on lexical
-features of a bounded sample of them (the ``max_train`` smallest url hashes)
-and judge the urls that no rule fits. Features: lengths, depth, digit ratio,
+features of a bounded sample of them (the ``max_train`` distinct urls with the
+smallest hashes, each weighted by its rows) and judge the urls that no rule
+fits. Features: lengths, depth, digit ratio,
 character entropy, parameter counts, and statistics of the host's last label,
 of its last two labels and of the path's first segment (how many urls have it,
 and the smoothed block rate among labelled urls). The statistics cover all
@@ -109,15 +110,21 @@ def with_statistics(urls: DataFrame, smoothing: float = 10.0) -> DataFrame:
 
 
 def train(featured: DataFrame, max_train: int = 20000, trees: int = 12, depth: int = 4, seed: int = 7):
-    """A model fitted on the ``max_train`` labelled urls with the smallest url
-    hashes, or the only verdict there is (NULL without labelled urls)."""
+    """A model fitted on the ``max_train`` distinct labelled urls with the
+    smallest hashes, weighted by their rows, or the only verdict there is
+    (``allow`` without labelled urls). Urls are counted by hash first, so only
+    the chosen ones' features move; the chosen hashes (``max_train`` at most)
+    are broadcast."""
     labelled = featured.where("rule_verdict IS NOT NULL").select(
         "url_hash", (F.col("rule_verdict") == "block").cast("double").alias("label"), *FEATURES)
-    sample = settle(labelled.orderBy("url_hash", "label", *FEATURES).limit(max_train), "labelled")
+    counted = labelled.groupBy("url_hash", "label").agg(F.count(F.lit(1)).cast("double").alias("n_rows"))
+    chosen = settle(counted.orderBy("url_hash", "label").limit(max_train), "chosen")
+    urls = labelled.join(F.broadcast(chosen), ["url_hash", "label"]).distinct()
+    sample = settle(urls.orderBy("url_hash", "label", *FEATURES).limit(max_train), "labelled")
     kinds = [r.label for r in sample.select("label").distinct().collect()]
     if len(kinds) < 2:
         return "block" if kinds == [1.0] else "allow"
-    gbt = GBTClassifier(labelCol="label", featuresCol="features", predictionCol="predicted", maxIter=trees,
+    gbt = GBTClassifier(labelCol="label", featuresCol="features", weightCol="n_rows", predictionCol="predicted", maxIter=trees,
                         maxDepth=depth, stepSize=0.3, seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), gbt]).fit(sample)
 

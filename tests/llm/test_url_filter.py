@@ -67,6 +67,21 @@ def test_trees_learn_held_out_urls(spark):
     assert sum(r.spam == int(r.predicted) for r in scored) > 0.97 * len(scored)
 
 
+def test_copies_of_a_url_take_one_place_in_the_sample(spark):
+    kinds = [(f"http://h{i}.com/{'x/' * 6}?" + "&".join("k=1" for _ in range(5)), "block") if i % 2 else (f"http://h{i}.org/about", "allow")
+             for i in range(60)]
+    df = spark.createDataFrame([(i, u, v, "", 0) for i, (u, v) in enumerate(kinds)], SCHEMA)
+    first = uf.lexical(df, "page_id", "url", uf.RULES).orderBy("url_hash").first().row_id
+    hot = kinds[first]
+    rows = spark.createDataFrame([(i, u, v, "", 0) for i, (u, v) in enumerate(kinds + [hot] * 500)], SCHEMA)
+    featured = uf.with_statistics(uf.lexical(rows, "page_id", "url", ())).join(
+        rows.select(F.col("page_id").alias("row_id"), F.col("html").alias("known")), "row_id").withColumn("rule_verdict", F.col("known"))
+    model = uf.train(featured, max_train=40, trees=3)  # 40 rows of the hot url would be of one kind
+    assert not isinstance(model, str)
+    scored = model.transform(featured).select("known", "predicted").collect()
+    assert all((r.known == "block") == (r.predicted == 1.0) for r in scored)
+
+
 def test_nothing_to_learn_and_empty(spark):
     df = spark.createDataFrame([(1, "http://a.com/x", "", "", 0)], SCHEMA)
     assert uf.judge_urls(df).first().verdict == "allow"
