@@ -41,6 +41,7 @@ from kerbside.llm.common import as_bytes, slices, text_of
 NEVER = 1 << 60
 #: Entries kept per worker; caches only save time, results don't depend on them.
 MAX_CACHED = 300_000
+IDS = np.dtype("int32")
 
 
 def byte_letters() -> dict[str, int]:
@@ -167,6 +168,8 @@ class MergeAutomaton:
                     arc_at.append(-1)
             arc_at[node] = v
         self.step, self.arc_at = step, arc_at
+        self.label_array = np.empty(self.size, object)
+        self.label_array[:] = self.label
         self.step_table, self.merge_table = _Table(step), _Table(self.merge_at)
         self.arc_array, self.left_array, self.right_array, self.made_array = (
             np.array(x, np.int64) for x in (arc_at, self.left, self.right, self.made))
@@ -227,26 +230,26 @@ class MergeAutomaton:
             u, v = np.where(made_u >= made_v, self.right_array[u], u), np.where(made_v >= made_u, self.left_array[v], v)
         return allowed
 
-    def encode_many(self, words: list[bytes], at_once: int = 4096, longest: int = 64) -> list[tuple[int, ...]]:
-        """``encode`` for many words together: every arc that any word's bytes
-        spell, then for each prefix length the one arc that the state before
-        it leaves open."""
-        out: list[tuple[int, ...]] = [()] * len(words)
+    def encode_many(self, words: list[bytes], at_once: int = 4096, longest: int = 64) -> list[bytes]:
+        """``encode`` for many words together, each word's ids as the bytes of
+        an ``IDS`` array: every arc that any word's bytes spell, then for each
+        prefix length the one arc that the state before it leaves open."""
+        out = [b""] * len(words)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
         while order and len(words[order[-1]]) > longest:
             i = order.pop()
-            out[i] = self.encode(words[i])
+            out[i] = np.array(self.encode(words[i]), IDS).tobytes()
         for start in range(0, len(order), at_once):
             chosen = order[start:start + at_once]
             for i, tokens in zip(chosen, self._encode_block([words[i] for i in chosen])):
                 out[i] = tokens
         return out
 
-    def _encode_block(self, words: list[bytes]) -> list[tuple[int, ...]]:
+    def _encode_block(self, words: list[bytes]) -> list[bytes]:
         sizes = np.array([len(w) for w in words], np.int64)
         width = int(sizes.max())
         if not width:
-            return [()] * len(words)
+            return [b""] * len(words)
         text = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width).astype(np.int64)
         row, begin = np.nonzero(np.arange(width) < sizes[:, None])
         node = np.zeros(len(row), np.int64)
@@ -283,14 +286,20 @@ class MergeAutomaton:
         while at.any():
             columns.append(np.where(at > 0, last[rows, at], -1))
             at = came[rows, at]
-        backward = np.stack(columns, axis=1)
-        counts = (backward >= 0).sum(axis=1).tolist()
-        return [tuple(x[c - 1::-1]) if c else () for x, c in zip(backward.tolist(), counts)]
+        forward = np.stack(columns[::-1], axis=1)
+        found = forward >= 0
+        ids = forward[found].astype(IDS).tobytes()
+        ends = (np.cumsum(found.sum(axis=1)) * IDS.itemsize).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
     def decode(self, tokens: Iterable[int]) -> bytes:
         """Emit the labels of the arcs."""
         return b"".join(map(self.label.__getitem__, tokens))
 
+    def decode_array(self, tokens: np.ndarray) -> bytes:
+        """``decode`` of an array of ids."""
+        return b"".join(self.label_array[tokens].tolist())
+
 
 # --- pre-splitting -------------------------------------------------------------
 
@@ -349,34 +358,39 @@ class Codec:
         self.split_words = WordSplitter()
         self.beside = re.compile(r" \s|\s |\A | \Z")
         self.lone = re.compile(r"(?<=\S) (?=\S)")
-        self.known: dict[str, tuple[int, ...]] = {}  # by pre-token
-        self.pieces: dict[str, tuple[int, ...]] = {}  # by what stands between two lone blanks
+        self.special_ids = {x: np.array([i], IDS).tobytes() for x, i in self.special.items()}
+        self.known: dict[str, bytes] = {}  # ids by pre-token
+        self.pieces: dict[str, bytes] = {}  # by what stands between two lone blanks
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of each whole text. Texts are cut where a pre-token must
-        start: at special tokens and at each blank that stands between two
-        other characters. Each new piece is encoded once for all texts. Nothing
-        here makes reference cycles, so the cycle collector, which would walk
-        the caches again and again, rests meanwhile."""
+        return [np.frombuffer(ids, IDS).tolist() for ids in self.encode_buffers(texts)]
+
+    def encode_buffers(self, texts: list[str]) -> list[bytes]:
+        """Token ids of each whole text, as the bytes of an ``IDS`` array.
+        Texts are cut where a pre-token must start: at special tokens and at
+        each blank that stands between two other characters. Each new piece is
+        encoded once for all texts. Nothing here makes reference cycles, so the
+        cycle collector, which would walk the caches again and again, rests
+        meanwhile."""
         collecting = gc.isenabled()
         gc.disable()
         try:
-            return self._encode_all(texts)
+            return self._encode_buffers(texts)
         finally:
             if collecting:
                 gc.enable()
 
-    def _encode_all(self, texts: list[str]) -> list[list[int]]:
+    def _encode_buffers(self, texts: list[str]) -> list[bytes]:
         plans, new = [], set()
         for text in texts:
             parts = self.split_special.split(text) if self.split_special and any(s in text for s in self.special) else [text]
             plan = []
             for part in parts:
                 if part in self.special:
-                    plan.append(self.special[part])
+                    plan.append(part)
                 elif part:
                     cut = self.lone.split(part) if self.beside.search(part) else part.split(" ")
                     cut[1:] = [" " + x for x in cut[1:]]
@@ -386,8 +400,9 @@ class Codec:
         if len(self.pieces) + len(new) > MAX_CACHED:
             self.pieces = {k: self.pieces[k] for k in new & self.pieces.keys()}
         self._learn([x for x in new if x not in self.pieces])
-        tokens = self.pieces.__getitem__
-        return [list(chain.from_iterable((part,) if isinstance(part, int) else chain.from_iterable(map(tokens, part)) for part in plan)) for plan in plans]
+        ids = self.pieces.__getitem__
+        return [b"".join(chain.from_iterable((self.special_ids[part],) if isinstance(part, str) else map(ids, part) for part in plan))
+                for plan in plans]
 
     def _learn(self, pieces: list[str]) -> None:
         split = {x: self.split_words(x) for x in pieces}
@@ -397,11 +412,14 @@ class Codec:
         new = [w for w in words if w not in self.known]
         self.known.update(zip(new, self.automaton.encode_many([w.encode() for w in new])))
         for x, parts in split.items():
-            self.pieces[x] = self.known[parts[0]] if len(parts) == 1 else tuple(chain.from_iterable(map(self.known.__getitem__, parts)))
+            self.pieces[x] = self.known[parts[0]] if len(parts) == 1 else b"".join(map(self.known.__getitem__, parts))
 
     def decode(self, tokens: Iterable[int]) -> str:
         return self.automaton.decode(tokens).decode("utf-8", "replace")
 
+    def decode_buffer(self, ids: bytes) -> str:
+        return self.automaton.decode_array(np.frombuffer(ids, IDS)).decode("utf-8", "replace")
+
 
 def worker_codec(shared) -> Codec:
     """The worker's codec, compiled once and kept beside the broadcast
@@ -423,10 +441,12 @@ def encode_decode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         codec = worker_codec(shared)
-        for part in slices(batches, 1):
-            tokens = codec.encode_all([text_of(raw) for raw in part.column(1).to_pylist()])
+        for part in slices(batches, 1, max_bytes=1 << 20):
+            ids = codec.encode_buffers([text_of(raw) for raw in part.column(1).to_pylist()])
+            ends = np.cumsum([0, *map(len, ids)]) // IDS.itemsize
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), IDS)))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(tokens, pa.list_(pa.int32())), pa.array([codec.decode(t) for t in tokens], pa.string())],
+                [part.column(0), tokens, pa.array([codec.decode_buffer(x) for x in ids], pa.string())],
                 names=["row", "token_ids", "decoded"])
 
     id_type = df.select(F.col(id_col).alias("i")).schema["i"].dataType.simpleString()
