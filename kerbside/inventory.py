@@ -74,7 +74,7 @@ def _texts(spark, sf_dir):
     """Subtitles and attention texts: fuel words in either, both or neither,
     in other letter case, and missing texts."""
     sub = by_line(F.concat(F.lit("2.0 Petrol "), F.col("p_name")), F.concat(F.lit("12.5 TDI "), F.col("p_type")), F.lit(None),
-                  "1.6 Hybrid Automatic", F.concat(F.lit("petrol 3 "), F.col("p_name")), "Electric Diesel 1.25", "")
+                  "1.6 Hybrid Automatic", F.concat(F.lit("petrol 3 "), F.col("p_name")), "Electric 1.25", "")
     grab = F.when(F.col("l_returnflag") == "A", "Great Diesel").when(F.col("l_linestatus") == "O", F.lit(None)).otherwise("semi Auto")
     return lines(spark, sf_dir, sub=sub.cast("string"), grab=grab.cast("string"))
 

@@ -19,7 +19,7 @@ TEXTS = f"""
 texts AS (
   SELECT l_orderkey, l_linenumber,
          CASE l_linenumber WHEN 1 THEN '2.0 Petrol ' || p_name WHEN 2 THEN '12.5 TDI ' || p_type WHEN 3 THEN NULL
-              WHEN 4 THEN '1.6 Hybrid Automatic' WHEN 5 THEN 'petrol 3 ' || p_name WHEN 6 THEN 'Electric Diesel 1.25' ELSE '' END AS sub,
+              WHEN 4 THEN '1.6 Hybrid Automatic' WHEN 5 THEN 'petrol 3 ' || p_name WHEN 6 THEN 'Electric 1.25' ELSE '' END AS sub,
          CASE WHEN l_returnflag = 'A' THEN 'Great Diesel' WHEN l_linestatus = 'O' THEN NULL ELSE 'semi Auto' END AS grab
   {LINES}),
 both_texts AS (SELECT *, coalesce(sub, '') || chr(10) || coalesce(grab, '') AS t FROM texts)"""

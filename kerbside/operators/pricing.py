@@ -32,7 +32,7 @@ from math import factorial, prod
 import numpy as np
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.session import scratch_path, shared_dir
@@ -92,7 +92,7 @@ class PriceModel:
     def binned(self, df: DataFrame) -> DataFrame:
         return _binned(df, self.features, self.cuts)
 
-    def nodes(self) -> list[list[dict]]:
+    def nodes(self) -> list[list[Row]]:
         """Per tree its nodes, by id. A model is saved as one row per node;
         their number is bounded by trees and depth."""
         spark = SparkSession.getActiveSession()
@@ -101,7 +101,7 @@ class PriceModel:
         out: dict[int, list] = {}
         for r in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
             out.setdefault(r.treeID, []).append(r)
-        return [[n for n in sorted(out[t], key=lambda n: n.id)] for t in sorted(out)]
+        return [sorted(out[t], key=lambda n: n.id) for t in sorted(out)]
 
 
 def feature_cuts(labelled: DataFrame, features: Sequence[str] = FEATURES, bins: int = BINS) -> list[list[float]]:
@@ -221,7 +221,7 @@ class Leaf:
     share: list[float]
 
 
-def _tree_leaves(nodes: list, bins: list[int]) -> list[Leaf]:
+def _tree_leaves(nodes: list[Row], bins: list[int]) -> list[Leaf]:
     """The leaves of one tree; ``bins`` are the features' bin counts. A node's
     first statistic is the weight of the training rows that reached it."""
     by_id = {n.id: n for n in nodes}
