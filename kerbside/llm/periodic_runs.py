@@ -184,7 +184,10 @@ def _candidates(ids: np.ndarray, part: np.ndarray, ends: np.ndarray, sizes: np.n
 
 def runs_of(texts: list[list], exponent: int = 4, min_length: int = 6) -> tuple[np.ndarray, ...]:
     """(text, start, length, period) of all runs of the word lists, by text,
-    start and period."""
+    start and period. ``exponent`` is 2 at least: a shorter run need not have
+    a grid point."""
+    if exponent < 2 or min_length < 2:
+        raise ValueError("exponent and min_length must be 2 or more")
     sizes = np.array([len(t) for t in texts], np.int64)
     order = np.argsort(-sizes, kind="stable")
     order = order[sizes[order] >= min_length]
