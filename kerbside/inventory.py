@@ -20,6 +20,7 @@ from kerbside.functions.prices import cast_price, parse_price
 from kerbside.operators import gold, pricing, quality, segments
 from kerbside.operators import warehouse as wh
 from kerbside.operators.silver import build_silver, detect_columns, fallback_columns, guard_nonempty, stamp_processed
+from kerbside.plans import silver_store
 from kerbside.schemas import AUDIT
 from kerbside.session import scratch_path
 from kerbside.sinks.layers import write_bronze, write_layer
@@ -318,6 +319,17 @@ def q_write_layer(spark, sf_dir):
     return write_layer(layer.withColumn("mileage", F.col("mileage") + 1), path)
 
 
+@register("silver_store")
+def q_silver_store(spark, sf_dir):
+    """Silver kept as a base and a delta, three batches in an order in which
+    rows arrive late."""
+    raw, root = fx.listings_raw(spark, sf_dir), scratch_path(spark, "store")
+    for part in (2, 0, 1):
+        silver_store.refresh_store(spark, raw.where(F.col("tie_line") % 3 == part), root,
+                                   tie_breakers=fx.LISTING_TIE_BREAKERS, stamp=False)
+    return silver_store.read_store(spark, root)
+
+
 @register("append_audit")
 def q_append_audit(spark, sf_dir):
     """A check's record per ship date, appended to those of the days before;

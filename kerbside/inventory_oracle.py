@@ -120,6 +120,7 @@ WHERE tie_line NOT IN (2, 3, 5) AND price IS NOT NULL AND mileage IS NOT NULL AN
 INVENTORY_ORACLE["upper_columns"] = "SELECT " + ", ".join(f'{c} AS "{c.upper()}"' for c in (
     "id", "brand", "model", "year", "price", "mileage", "fuel_type", "engine_size", "transmission", "is_ulez_compliant")) + (
     " FROM (" + ORACLE["silver_listings"] + ")")
+INVENTORY_ORACLE["silver_store"] = ORACLE["silver_listings"]
 INVENTORY_ORACLE["guard_nonempty"] = ORACLE["silver_listings"]
 INVENTORY_ORACLE["write_layer"] = "SELECT * REPLACE (mileage + 1 AS mileage) FROM (" + ORACLE["silver_listings"] + ") WHERE year >= 2006"
 

@@ -18,13 +18,15 @@ def write_bronze(batch: DataFrame, path: str, partition_by: tuple[str, ...] = ("
 
     Bronze is partitioned by ingestion date (derived from the batch's
     ingestion_timestamp), so an incremental Silver run prunes to new days.
-    Returns whether anything was written."""
+    Rows are rebalanced by the partition columns first: a day is one file, or
+    as many as its size asks for, instead of one from every task that has rows
+    of it. Returns whether anything was written."""
     if batch.isEmpty():
         return False
     out = batch
     if "ingest_date" in partition_by and "ingest_date" not in batch.columns:
         out = batch.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
-    out.write.mode("append").partitionBy(*partition_by).parquet(path)
+    out.hint("rebalance", *(F.col(c) for c in partition_by)).write.mode("append").partitionBy(*partition_by).parquet(path)
     return True
 
 
