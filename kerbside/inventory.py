@@ -345,6 +345,17 @@ def q_append_audit(spark, sf_dir):
     return kept.select(F.date_format("check_timestamp", "yyyy-MM-dd").alias("day"), "layer", "check_name", "status", "error_count")
 
 
+@register("silhouette_fixed")
+def q_silhouette_fixed(spark, sf_dir):
+    """M2's score for clusters fixed by a rule (mileage band)."""
+    feats = segments.feature_table(_silver(spark, sf_dir)).withColumn("band", F.floor(F.col("MILEAGE") / 25000).cast("int"))
+    scaled, _ = segments.scale_features(feats)
+    points = scaled.groupBy("band", *segments.FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"), F.first("scaled").alias("scaled"))
+    score = segments.silhouette(write_layer(points, scratch_path(spark, "points")), cluster_col="band")
+    return feats.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("band").alias("n_clusters")).withColumn(
+        "silhouette", F.round(F.lit(score), 6))
+
+
 # --- price model ----------------------------------------------------------------------------
 
 @register("train_price_model")

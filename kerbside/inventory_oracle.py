@@ -3,7 +3,7 @@ words, casts) are fixed values."""
 
 from __future__ import annotations
 
-from kerbside.oracle import _SIDE, API_RAW, FACT, IMPACT_SUMMARY, LISTINGS_RAW, MERC_RAW, ORACLE, SILVER, LISTING_TEXTS
+from kerbside.oracle import _FEATURED, _SIDE, API_RAW, FACT, IMPACT_SUMMARY, LISTINGS_RAW, MERC_RAW, ORACLE, SILVER, LISTING_TEXTS
 
 INVENTORY_ORACLE: dict[str, str] = {}
 LINES = "FROM lineitem JOIN part ON l_partkey = p_partkey"
@@ -130,6 +130,18 @@ SELECT strftime(day, '%Y-%m-%d') AS day, 'SILVER' AS layer, 'Price Accuracy' AS
 FROM (SELECT CAST(l_shipdate AS DATE) AS day, count(CASE WHEN l_quantity < 2 THEN 1 END) AS n FROM lineitem GROUP BY 1)
 ORDER BY day DESC LIMIT 100"""
 
+# Row by row, against every cluster.
+INVENTORY_ORACLE["silhouette_fixed"] = "WITH " + _FEATURED + """,
+m AS (SELECT avg(x) AS ax, stddev_samp(x) AS sx, avg(y) AS ay, stddev_samp(y) AS sy, avg(z) AS az, stddev_samp(z) AS sz FROM f),
+p AS (SELECT row_number() OVER () AS i, CAST(floor(mileage / 25000) AS INT) AS band,
+             (x - ax) / sx AS x, (y - ay) / sy AS y, (z - az) / sz AS z FROM f, m),
+c AS (SELECT band AS cband, count(*) AS n, sum(x * x + y * y + z * z) AS q, sum(x) AS sx, sum(y) AS sy, sum(z) AS sz FROM p GROUP BY band),
+d AS (SELECT i, band, cband, n, x * x + y * y + z * z + q / n - 2 * (x * sx + y * sy + z * sz) / n AS dist FROM p, c),
+s AS (SELECT i, max(CASE WHEN band = cband THEN dist * n / nullif(n - 1, 0) END) AS a, min(CASE WHEN band <> cband THEN dist END) AS b
+      FROM d GROUP BY i)
+SELECT count(*) AS n_rows, (SELECT count(*) FROM c) AS n_clusters,
+       round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / nullif(greatest(a, b), 0) END), 6) AS silhouette FROM s"""
+
 INVENTORY_ORACLE["train_price_model"] = "WITH " + FACT + f""",
 train AS (SELECT count(price) AS n, round(avg(price), 3) AS m FROM fact WHERE {_SIDE} < 80)
 SELECT CAST(t AS INT) AS tree, n AS n_rows, CASE WHEN t = 0 THEN m END AS root_mean FROM train, (SELECT unnest(range(0, 100)) AS t)"""

@@ -1,13 +1,13 @@
 """Market segmentation.
 
-Scaling, K-means and the silhouette are Spark ML jobs; only k centroids,
-costs and scores reach the driver. The 10 random restarts per K are 10 seeds
-per K, the lowest training cost kept, and the fits run as concurrent Spark
-jobs. Fits read the *distinct* scaled points with their row counts as weights,
-which gives the cost of the rows themselves, however often a point repeats; the
-points are partitioned by value and sorted, so a result does not depend on how
-the input was split or on the cluster's size. Silhouettes read the rows, since
-a row's own weight counts in them.
+Scaling and K-means are Spark ML jobs, the silhouette is two aggregates; only
+k centroids, sums and scores reach the driver. The 10 random restarts per K are
+10 seeds per K, the lowest training cost kept, and the fits run as concurrent
+Spark jobs. Fits and silhouettes read the *distinct* scaled points with their
+row counts as weights, which gives the cost and the mean silhouette of the rows
+themselves, however often a point repeats; the points are partitioned by value
+and sorted, so a result does not depend on how the input was split or on the
+cluster's size.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from dataclasses import dataclass
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -112,11 +112,39 @@ def _best_of_restarts(points: DataFrame, ks: Sequence[int], restarts: int, seed:
     return best
 
 
-def _silhouette(model: KMeansModel, scaled: DataFrame, col: str) -> float | None:
-    """The model's silhouette; None where it fills fewer than two clusters."""
-    if sum(1 for size in model.summary.clusterSizes if size) < 2:
+def silhouette(assigned: DataFrame, col: str = "scaled", cluster_col: str = "__cluster", weight_col: str = "weight") -> float | None:
+    """Mean silhouette of the rows behind weighted points, by squared
+    Euclidean distance; None where fewer than two clusters are filled. The
+    mean distance of a point to a cluster follows from the cluster's weight,
+    sum of points and sum of squared norms, so one aggregate gives k rows and
+    a second one, with these as constants, the scores. A row's distance to its
+    own cluster leaves the row itself out, not the rows that equal it; a row
+    alone in its cluster scores 0."""
+    x = assigned.select(vector_to_array(col).alias("x"), F.col(cluster_col).alias("c"), F.col(weight_col).alias("w"))
+    x = x.withColumn("norm", F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
+    n = len(x.first()["x"]) if not x.isEmpty() else 0
+    sums = x.groupBy("c").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("norm")).alias("norm"),
+                              *(F.sum(F.col("w") * F.col("x")[i]).alias(f"x{i}") for i in range(n))).orderBy("c").collect()
+    if len(sums) < 2:
         return None
-    return ClusteringEvaluator(featuresCol=col, predictionCol="__cluster").evaluate(model.transform(scaled.select(col)))
+
+    def distance(r):
+        dot = sum((F.col("x")[i] * F.lit(r[f"x{i}"] / r["w"]) for i in range(n)), F.lit(0.0))
+        return F.greatest(F.col("norm") + F.lit(r["norm"] / r["w"]) - 2 * dot, F.lit(0.0))
+
+    own = other = F.lit(None).cast("double")
+    for r in sums:
+        here = F.col("c") == r["c"]
+        own = F.when(here, distance(r) * (r["w"] / (r["w"] - 1)) if r["w"] > 1 else F.lit(None)).otherwise(own)
+        other = F.least(other, F.when(~here, distance(r)))
+    widest = F.greatest(F.col("own"), F.col("other"))
+    score = F.when(F.col("own").isNull() | (widest == 0), 0.0).otherwise((F.col("other") - F.col("own")) / F.nullif(widest, F.lit(0.0)))
+    scored = x.select("w", own.alias("own"), other.alias("other")).select("w", score.alias("s"))
+    return scored.agg(F.sum(F.col("w") * F.col("s")) / F.sum("w")).first()[0]
+
+
+def _silhouette(model: KMeansModel, points: DataFrame, col: str) -> float | None:
+    return silhouette(model.transform(points), col)
 
 
 def select_k(scaled: DataFrame, points: DataFrame | None = None, k_range: Sequence[int] = K_RANGE,
@@ -133,7 +161,7 @@ def select_k(scaled: DataFrame, points: DataFrame | None = None, k_range: Sequen
     if n < max(k_range) or not ks:
         return fallback, []
     best = _best_of_restarts(points, ks, restarts, seed, max_iter, col, parallel_fits)
-    score = inheritable_thread_target(points.sparkSession)(lambda k: _silhouette(best[k], scaled, col))
+    score = inheritable_thread_target(points.sparkSession)(lambda k: _silhouette(best[k], points, col))
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
         scores = list(pool.map(score, ks))
     results = [KResult(k, s, best[k].summary.trainingCost, best[k]) for k, s in zip(ks, scores) if s is not None]
@@ -192,12 +220,11 @@ def segment_market(spark: SparkSession, silver: DataFrame, k: int | None = None,
     layer rather than a plan that is costly to repeat."""
     feats = feature_table(silver)
     scaled, _ = scale_features(feats)
-    vectors = scaled.select("scaled", *FEATURES).persist()
-    points = weighted_points(vectors).persist()
+    points = weighted_points(scaled.select("scaled", *FEATURES)).persist()
     report = silhouette = None
     try:
         if k is None:
-            k, results = select_k(vectors, points, restarts=restarts, seed=seed, max_iter=max_iter)
+            k, results = select_k(scaled, points, restarts=restarts, seed=seed, max_iter=max_iter)
             won = next((r for r in results if r.k == k), None)
             report = k_report(spark, results) if results else None
         else:
@@ -207,11 +234,10 @@ def segment_market(spark: SparkSession, silver: DataFrame, k: int | None = None,
             assigned = scaled.withColumn("__cluster", F.lit(0))
         else:
             model = won.model if won else _best_of_restarts(points, [k], restarts, seed, max_iter, "scaled")[k]
-            silhouette = won.silhouette if won else _silhouette(model, vectors, "scaled")
+            silhouette = won.silhouette if won else _silhouette(model, points, "scaled")
             assigned = model.transform(scaled)
     finally:
         points.unpersist()
-        vectors.unpersist()
     out = assigned.withColumn("CLUSTER_ID", F.col("__cluster").cast("int")).drop("__cluster", "scaled")
     if name:
         out = name_clusters(out, rank_clusters(cluster_profile(out)))

@@ -24,7 +24,8 @@ def test_every_query_has_sql_and_a_name_of_its_own():
     assert set(INVENTORY) == set(INVENTORY_ORACLE) and not set(INVENTORY) & set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(INVENTORY))
+# The full fit takes half a minute; tools/check_oracle.py runs it, test_ml.py smaller ones.
+@pytest.mark.parametrize("name", sorted(set(INVENTORY) - {"train_price_model"}))
 def test_sql(spark, con, name):
     got = INVENTORY[name](spark, SF)
     want = con.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in got.columns)} FROM ({INVENTORY_ORACLE[name]})").fetchall()

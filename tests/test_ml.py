@@ -49,6 +49,22 @@ def test_cost_does_not_depend_on_partitions(spark):
     assert max(costs) - min(costs) < 1e-6
 
 
+def test_silhouette_of_weighted_points_is_that_of_the_rows(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    rng = np.random.default_rng(12)
+    rows = [(int(rng.integers(1, 40)) * 1000, int(rng.integers(0, 9)) * 5000, int(rng.integers(2000, 2010))) for _ in range(300)]
+    scaled = _scaled(spark, rows + rows[:60] * 3 + [(900000, 1, 1950)])  # repeated rows, and one alone in its cluster
+    points = segments.weighted_points(scaled)
+    for k in (2, 3, 6):
+        model = KMeans(k=k, seed=1, featuresCol="scaled", weightCol="weight", predictionCol="__cluster").fit(points)
+        want = ClusteringEvaluator(featuresCol="scaled", predictionCol="__cluster").evaluate(model.transform(scaled))
+        assert abs(segments.silhouette(model.transform(points)) - want) < 1e-9
+    one = points.withColumn("__cluster", F.lit(0))
+    assert segments.silhouette(one) is None and segments.silhouette(one.limit(0)) is None
+
+
 def test_weighted_points_hold_every_row(spark):
     p = segments.weighted_points(_scaled(spark, [(1, 2, 2000)] * 50 + [(3, 4, 2001)] * 7 + [(5, 6, 2002)])).collect()
     assert sorted(r.weight for r in p) == [1.0, 7.0, 50.0]
