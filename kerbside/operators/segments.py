@@ -92,9 +92,11 @@ def weighted_points(scaled: DataFrame, features: Sequence[str] = FEATURES, col:
 
 
 def _fit(points: DataFrame, k: int, seed: int, max_iter: int, col: str) -> KMeansModel:
-    # Spark's limit is on each centre's own shift.
+    # Spark's limit is on each centre's own shift. A fit of a frame that is not
+    # itself cached keeps its points as objects, and does not decode them again
+    # in every iteration.
     return KMeans(k=k, seed=seed, maxIter=max_iter, tol=(TOLERANCE / k) ** 0.5, featuresCol=col, weightCol="weight",
-                  predictionCol="__cluster").fit(points)
+                  predictionCol="__cluster").fit(points.where("weight > 0"))
 
 
 def _best_of_restarts(points: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int,
@@ -121,8 +123,9 @@ def silhouette(assigned: DataFrame, col: str = "scaled", cluster_col: str = "__c
     own cluster leaves the row itself out, not the rows that equal it; a row
     alone in its cluster scores 0."""
     x = assigned.select(vector_to_array(col).alias("x"), F.col(cluster_col).alias("c"), F.col(weight_col).alias("w"))
-    x = x.withColumn("norm", F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
-    n = len(x.first()["x"]) if not x.isEmpty() else 0
+    one = x.first()
+    n = len(one["x"]) if one else 0
+    x = x.withColumn("norm", sum((F.col("x")[i] * F.col("x")[i] for i in range(n)), F.lit(0.0)))
     sums = x.groupBy("c").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("norm")).alias("norm"),
                               *(F.sum(F.col("w") * F.col("x")[i]).alias(f"x{i}") for i in range(n))).orderBy("c").collect()
     if len(sums) < 2:
