@@ -13,7 +13,8 @@ sum of its squared document sizes.
 
 Cases: a NULL text has no words; a NULL source is a source of its own, last in
 order; a source without words has target 0 and emits nothing; sources that a
-given weight table leaves out, or weighs 0 or less or NULL, have target 0; a
+given weight table leaves out, or weighs 0 or less or NULL, have target 0,
+and its rows for one source add up; a
 NULL id draws as an empty one; rows with one id draw alike; if all weighted
 sources are at their caps, targets sum to less than all words; an empty table
 gives no rows. Other columns are not read by ``copies``; ``mixed`` keeps them
@@ -96,7 +97,11 @@ def _with_copies(sized: DataFrame, weights: DataFrame | None, cap: int, seed: in
     broadcast while it is small, otherwise by a join that adaptive execution
     can split at a source with very many documents."""
     sources = source_sizes(sized)
-    goal = settle(targets(sources, cycle_weights(sources) if weights is None else weights, cap), "targets")
+    if weights is None:
+        weights = cycle_weights(sources)
+    else:
+        weights = weights.groupBy("source").agg(F.sum("weight").alias("weight"))
+    goal = settle(targets(sources, weights, cap), "targets")
     goal = goal.withColumnRenamed("source", "t_source")
     whole = F.floor("rate")
     extra = (draw(seed, F.col("row_id")) < F.col("rate") - whole).cast("long")

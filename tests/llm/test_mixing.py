@@ -85,7 +85,7 @@ def test_mixed_emits_whole_rows(spark):
 
 def test_given_weights(spark):
     docs = [(i, "a b c d", "xyz"[i % 3]) for i in range(900)]
-    weights = spark.createDataFrame([("x", 3.0), ("y", None), ("unknown", 5.0)], "source string, weight double")
+    weights = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("y", None), ("unknown", 5.0)], "source string, weight double")
     rows = {r.source: r.target for r in mixing.copies(frame(spark, docs), weights=weights, cap=2).collect()}
     assert rows == {"x": 2400.0, "y": 0.0, "z": 0.0}
     assert {r.source: r.target for r in mixing.copies(frame(spark, docs), weights=weights, cap=4).collect()} == {
