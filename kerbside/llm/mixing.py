@@ -13,12 +13,11 @@ sum of its squared document sizes.
 
 Cases: a NULL text has no words; a NULL source is a source of its own, last in
 order; a source without words has target 0 and emits nothing; sources that a
-given weight table leaves out, or weighs 0 or less or NULL, have target 0,
-and its rows for one source add up; a
-NULL id draws as an empty one; rows with one id draw alike; if all weighted
-sources are at their caps, targets sum to less than all words; an empty table
-gives no rows. Other columns are not read by ``copies``; ``mixed`` keeps them
-under any name.
+given weight table leaves out, or weighs 0 or less or NULL, have target 0, and
+its rows for one source add up; a NULL id draws as an empty one; rows with one
+id draw alike; if all weighted sources are at their caps, targets sum to less
+than all words; an empty table gives no rows. Other columns are not read by
+``copies``; ``mixed`` keeps them under any name.
 """
 
 from __future__ import annotations
