@@ -153,7 +153,9 @@ def train_price_model(train: DataFrame, features: Sequence[str] = FEATURES, labe
     cells = training_cells(train, cuts, features, label).persist()
     slots, n = cells.sparkSession.sparkContext.defaultParallelism, cells.count()
     parts = max(1, min(slots, -(-n // SMALL_PARTITION_ROWS)), -(-n // ROWS_PER_PARTITION))
-    data = _assembler(features).transform(cells.repartition(parts, *names).sortWithinPartitions(*names))
+    # Few cells are gathered from the cache without another shuffle; their keys are unique, so the sort fixes the order.
+    dealt = cells.coalesce(1) if parts == 1 else cells.repartition(parts, *names)
+    data = _assembler(features).transform(dealt.sortWithinPartitions(*names))
     data = data.select("features", "__label", "__n").persist()
     # Boosting state is checkpointed to the shared folder every 10 trees, so a
     # lost executor costs at most 10 trees of lineage, not the whole run.
