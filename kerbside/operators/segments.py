@@ -1,9 +1,9 @@
 """Market segmentation.
 
-Scaling and K-means are Spark ML jobs, the silhouette is two aggregates; only
-k centroids, sums and scores reach the driver. The 10 random restarts per K are
-10 seeds per K, the lowest training cost kept, and the fits run as concurrent
-Spark jobs. Fits and silhouettes read the *distinct* scaled points with their
+Scaling and the starts of K-means are Spark ML jobs, the silhouette is two
+aggregates; only k centroids, sums and scores reach the driver. The 10 random
+restarts per K are 10 seeds per K, the lowest training cost kept; the fits share
+their passes over the points (``kmeans``). Fits and silhouettes read the *distinct* scaled points with their
 row counts as weights, which gives the cost and the mean silhouette of the rows
 themselves, however often a point repeats; the points are partitioned by value
 and sorted, so a result does not depend on how the input was split or on the
@@ -16,14 +16,16 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kerbside.operators.kmeans import Centres, as_array, fit_all
+
 # Features, K range, restarts, iteration limit, tolerance, seed,
 # the small-data fallback, and the cluster labels by ascending mean price.
 FEATURES = ("PRICE", "MILEAGE", "YEAR")
@@ -74,7 +76,7 @@ class KResult:
     k: int
     silhouette: float
     cost: float
-    model: KMeansModel
+    model: Centres
 
 
 def weighted_points(scaled: DataFrame, features: Sequence[str] = FEATURES, col: str = "scaled",
@@ -91,23 +93,13 @@ def weighted_points(scaled: DataFrame, features: Sequence[str] = FEATURES, col:
     return points.repartition(partitions, *names).sortWithinPartitions(*names).select(col, "weight")
 
 
-def _fit(points: DataFrame, k: int, seed: int, max_iter: int, col: str) -> KMeansModel:
-    # Spark's limit is on each centre's own shift. A fit of a frame that is not
-    # itself cached keeps its points as objects, and does not decode them again
-    # in every iteration.
-    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=(TOLERANCE / k) ** 0.5, featuresCol=col, weightCol="weight",
-                  predictionCol="__cluster").fit(points.where("weight > 0"))
-
-
 def _best_of_restarts(points: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int,
-                      col: str, parallel_fits: int = PARALLEL_FITS) -> dict[int, KMeansModel]:
+                      col: str, parallel_fits: int = PARALLEL_FITS) -> dict[int, Centres]:
     """For each K, the lowest-cost model of ``restarts`` seeds. All (K, seed)
-    fits are submitted at once, so small jobs from different fits overlap."""
+    fits share the passes over the points."""
     grid = [(k, seed + i) for k in ks for i in range(restarts)]
-    fit = inheritable_thread_target(points.sparkSession)(lambda ks_: _fit(points, ks_[0], ks_[1], max_iter, col))
-    with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
-        models = list(pool.map(fit, grid))
-    best: dict[int, KMeansModel] = {}
+    models = fit_all(points, grid, max_iter, TOLERANCE, col, "__cluster", parallel_fits)
+    best: dict[int, Centres] = {}
     for (k, _), m in zip(grid, models):
         if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
             best[k] = m
@@ -119,10 +111,10 @@ def silhouette(assigned: DataFrame, col: str = "scaled", cluster_col: str = "__c
     Euclidean distance; None where fewer than two clusters are filled. The
     mean distance of a point to a cluster follows from the cluster's weight,
     sum of points and sum of squared norms, so one aggregate gives k rows and
-    a second one, with these as constants, the scores. A row's distance to its
+    a second pass, with these as constants, the scores. A row's distance to its
     own cluster leaves the row itself out, not the rows that equal it; a row
     alone in its cluster scores 0."""
-    x = assigned.select(vector_to_array(col).alias("x"), F.col(cluster_col).alias("c"), F.col(weight_col).alias("w"))
+    x = assigned.select(as_array(assigned, col).alias("x"), F.col(cluster_col).alias("c"), F.col(weight_col).alias("w"))
     one = x.first()
     n = len(one["x"]) if one else 0
     x = x.withColumn("norm", sum((F.col("x")[i] * F.col("x")[i] for i in range(n)), F.lit(0.0)))
@@ -131,22 +123,30 @@ def silhouette(assigned: DataFrame, col: str = "scaled", cluster_col: str = "__c
     if len(sums) < 2:
         return None
 
-    def distance(r):
-        dot = sum((F.col("x")[i] * F.lit(r[f"x{i}"] / r["w"]) for i in range(n)), F.lit(0.0))
-        return F.greatest(F.col("norm") + F.lit(r["norm"] / r["w"]) - 2 * dot, F.lit(0.0))
-
-    own = other = F.lit(None).cast("double")
-    for r in sums:
-        here = F.col("c") == r["c"]
-        own = F.when(here, distance(r) * (r["w"] / (r["w"] - 1)) if r["w"] > 1 else F.lit(None)).otherwise(own)
-        other = F.least(other, F.when(~here, distance(r)))
-    widest = F.greatest(F.col("own"), F.col("other"))
-    score = F.when(F.col("own").isNull() | (widest == 0), 0.0).otherwise((F.col("other") - F.col("own")) / F.nullif(widest, F.lit(0.0)))
-    scored = x.select("w", own.alias("own"), other.alias("other")).select("w", score.alias("s"))
-    return scored.agg(F.sum(F.col("w") * F.col("s")) / F.sum("w")).first()[0]
-
-
-def _silhouette(model: KMeansModel, points: DataFrame, col: str) -> float | None:
+    filled = [r for r in sums if r["c"] is not None]
+    weight = np.array([r["w"] for r in filled])
+    mean = np.array([[r[f"x{i}"] for i in range(n)] for r in filled]) / weight[:, None]
+    spread = np.array([r["norm"] for r in filled]) / weight
+
+    def scored(batches):
+        for batch in batches:
+            points, w, mine = (batch.column(i) for i in range(3))
+            points, w, mine = points.flatten().to_numpy().reshape(-1, n), w.to_numpy(), mine.to_numpy()
+            far = np.maximum((points * points).sum(axis=1)[:, None] + spread - 2 * points @ mean.T, 0.0)
+            rows, size = np.arange(len(w)), weight[mine]
+            own = far[rows, mine] * size / np.maximum(size - 1, 1)
+            far[rows, mine] = np.inf
+            other = far.min(axis=1)
+            widest = np.maximum(own, other)
+            s = np.where((mine < 0) | (size <= 1) | (widest == 0), 0.0, (other - own) / np.where(widest == 0, 1.0, widest))
+            yield pa.RecordBatch.from_pydict({"s": [float(w @ s)], "w": [float(w.sum())]})
+
+    place = F.coalesce(F.array_position(F.array(*(F.lit(r["c"]) for r in filled)), F.col("c")), F.lit(0)) - 1
+    parts = x.select("x", F.col("w").cast("double"), place.cast("long").alias("c")).mapInArrow(scored, "s double, w double")
+    return parts.agg(F.sum("s") / F.sum("w")).first()[0]
+
+
+def _silhouette(model: Centres, points: DataFrame, col: str) -> float | None:
     return silhouette(model.transform(points), col)
 
 
@@ -164,9 +164,14 @@ def select_k(scaled: DataFrame, points: DataFrame | None = None, k_range: Sequen
     if n < max(k_range) or not ks:
         return fallback, []
     best = _best_of_restarts(points, ks, restarts, seed, max_iter, col, parallel_fits)
-    score = inheritable_thread_target(points.sparkSession)(lambda k: _silhouette(best[k], points, col))
-    with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
-        scores = list(pool.map(score, ks))
+    # Vectors are decoded once for all scores.
+    decoded = points.select(as_array(points, col).alias(col), "weight").persist()
+    try:
+        score = inheritable_thread_target(points.sparkSession)(lambda k: _silhouette(best[k], decoded, col))
+        with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
+            scores = list(pool.map(score, ks))
+    finally:
+        decoded.unpersist()
     results = [KResult(k, s, best[k].summary.trainingCost, best[k]) for k, s in zip(ks, scores) if s is not None]
     if not results:
         return fallback, []

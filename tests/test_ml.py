@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from kerbside.operators import pricing, segments
+from kerbside.operators import kmeans, pricing, segments
 
 
 def _features(spark, points, flags=None):
@@ -78,6 +78,71 @@ def test_scaling_is_zero_mean_unit_sample_std(spark):
     assert np.allclose(arr.std(axis=0, ddof=1), 1, atol=1e-9)
 
 
+def _cloud(spark, n=3000):
+    rng = np.random.default_rng(5)
+    return _scaled(spark, [(float(rng.gamma(3, 9000)), int(rng.integers(0, 150000)), int(rng.integers(2000, 2024))) for _ in range(n)])
+
+
+def _spark_fit(points, k, seed):
+    from pyspark.ml.clustering import KMeans
+
+    return KMeans(k=k, seed=seed, maxIter=segments.MAX_ITER, tol=(segments.TOLERANCE / k) ** 0.5, featuresCol="scaled",
+                  weightCol="weight", predictionCol="__cluster").fit(points)
+
+
+def test_joint_fits_are_those_of_spark_ml(spark):
+    points = segments.weighted_points(_cloud(spark)).persist()
+    grid = [(2, 42), (3, 43), (7, 44)]
+    for (k, seed), got in zip(grid, kmeans.fit_all(points, grid, segments.MAX_ITER, segments.TOLERANCE, "scaled", "__cluster", 2)):
+        want = _spark_fit(points, k, seed)
+        assert np.allclose(got.clusterCenters(), want.clusterCenters(), atol=1e-9)
+        assert abs(got.summary.trainingCost - want.summary.trainingCost) < 1e-6 and got.summary.numIter == want.summary.numIter
+        both = got.transform(points).withColumnRenamed("__cluster", "mine")
+        assert want.transform(both).where("mine <> __cluster").count() == 0
+    points.unpersist()
+
+
+def test_joint_starts_are_as_good_and_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(kmeans, "SEPARATE_STARTS", 0)
+    points = segments.weighted_points(_cloud(spark))
+    costs = []
+    for rows in (kmeans.ROWS_PER_PARTITION, 500):
+        monkeypatch.setattr(kmeans, "ROWS_PER_PARTITION", rows)
+        best = segments._best_of_restarts(points, [3, 6], 8, 42, segments.MAX_ITER, "scaled")
+        assert [len(best[k].clusterCenters()) for k in (3, 6)] == [3, 6]
+        costs.append([best[k].summary.trainingCost for k in (3, 6)])
+    assert np.allclose(*costs)
+    for k, cost in zip((3, 6), costs[0]):
+        assert cost < 1.01 * min(_spark_fit(points, k, 42 + i).summary.trainingCost for i in range(8))
+
+
+def test_fits_share_their_passes_over_the_points(spark, monkeypatch):
+    """However many fits there are, an iteration is one pass, and no fit decodes points of its own."""
+    passes, starts = [], []
+    summed, start = kmeans.nearest_sums, kmeans.start
+    monkeypatch.setattr(kmeans, "SEPARATE_STARTS", 0)
+    monkeypatch.setattr(kmeans, "nearest_sums", lambda packed, fits: passes.append(len(fits)) or summed(packed, fits))
+    monkeypatch.setattr(kmeans, "start", lambda *a: starts.append(a) or start(*a))
+    grid = [(k, 42 + i) for k in (2, 5) for i in range(6)]
+    models = kmeans.fit_all(segments.weighted_points(_cloud(spark)), grid, segments.MAX_ITER, segments.TOLERANCE, "scaled", "__cluster", 8)
+    assert not starts and passes[:4] == [12] * 4
+    assert len(passes) == kmeans.START_STEPS + 1 + max(m.summary.numIter for m in models)
+
+
+def test_sums_by_boxes_are_those_of_the_points():
+    rng = np.random.default_rng(3)
+    x = np.sort(np.column_stack([rng.normal(size=3000), rng.integers(0, 9, 3000), rng.integers(0, 3, 3000)]), axis=0)
+    held = np.column_stack([x, rng.integers(1, 5, 3000)])
+    fits = [x[rng.choice(3000, k, replace=False)] for k in (1, 4, 7)]
+    totals = [np.zeros((len(c), 5)) for c in fits]
+    kmeans.add_nearest(totals, held, fits)
+    for c, got in zip(fits, totals):
+        label = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        want = [[w.sum(), *(w[:, None] * p).sum(axis=0), (w * (p * p).sum(axis=1)).sum()]
+                for j in range(len(c)) for p, w in [(x[label == j], held[label == j, 3])]]
+        assert np.allclose(got, want)
+
+
 def _blobs(spark):
     rng = np.random.default_rng(7)
     pts = []
