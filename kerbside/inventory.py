@@ -114,7 +114,7 @@ def q_concat_pages(spark, sf_dir):
     number = F.col("response.data.searchResults.listings")[0]["advertId"].cast("long")
     pages = [scratch_path(spark, f"page-{i}") for i in (1, 2, 3)]
     for path, part in zip(pages, (number % 2 == 0, F.lit(False), number % 2 == 1)):
-        docs.where(part).select(F.to_json(F.array("response")).alias("value")).write.text(path)
+        documents.save_documents(docs.where(part), path)
     found = documents.extract_listings(documents.concat_pages(spark, pages, per_line=True))
     return found.select("id", "title", "brand", "model", "year", "mileage")
 

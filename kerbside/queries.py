@@ -227,8 +227,7 @@ def q_extract_listings(spark, sf_dir):
 def q_read_listing_documents(spark, sf_dir):
     # Save the responses as JSON lines in the shared folder, then read them back.
     path = scratch_path(spark, "documents")
-    fx.listing_documents(spark, sf_dir).select(
-        F.to_json(F.array("response")).alias("value")).write.text(path)
+    documents.save_documents(fx.listing_documents(spark, sf_dir), path)
     return _extracted(documents.read_listing_documents(spark, path, per_line=True))
 
 
@@ -409,7 +408,7 @@ def q_run_medallion(spark, sf_dir):
 @register("ingest_documents")
 def q_ingest_documents(spark, sf_dir):
     docs = scratch_path(spark, "pages")
-    fx.listing_documents(spark, sf_dir).select(F.to_json(F.array("response")).alias("value")).write.text(docs)
+    documents.save_documents(fx.listing_documents(spark, sf_dir), docs)
     bronze_root = scratch_path(spark, "bronze")
     medallion.ingest_documents(spark, docs, "BMW", "Diesel", bronze_root, per_line=True)
     return spark.read.parquet(bronze_root).drop("ingestion_timestamp", "ingest_date")

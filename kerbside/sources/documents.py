@@ -3,7 +3,7 @@
 A response is a JSON array whose first element holds
 ``data.searchResults.listings[]``. Files are read either one document per
 file (``wholetext``, as saved page by page) or one document per line (JSON
-lines, the splittable bulk layout). Either way each document is parsed with
+lines, the bulk layout, plain or compressed). Either way each document is parsed with
 a fixed schema by ``from_json`` inside the scan's codegen stage; a missing
 level or an error response yields no rows.
 """
@@ -35,6 +35,19 @@ def explode_listings(docs: DataFrame, col: str = "response") -> DataFrame:
     return docs.select(F.explode(listings).alias("l")).select("l.*")
 
 
+# Lines of a file: a compressed file is read by one task.
+LINES_PER_FILE = 250_000
+
+
+def save_documents(docs: DataFrame, path: str, col: str = "response") -> None:
+    """Save responses as compressed JSON lines, the bulk layout that
+    ``per_line`` reads back. Field names make up most of a line, so even the
+    fastest compression leaves a small part of it."""
+    lines = docs.select(F.to_json(F.array(col)).alias("value"))
+    (lines.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+     .option("maxRecordsPerFile", LINES_PER_FILE).text(path))
+
+
 def read_listing_documents(spark: SparkSession, paths: str | Sequence[str], per_line: bool = False) -> DataFrame:
     """S1 + E7: read every saved page at once (a path list or glob is a
     union-all of pages; empty pages contribute nothing)."""
