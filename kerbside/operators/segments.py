@@ -13,18 +13,17 @@ cluster's size.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kerbside.operators.kmeans import Centres, as_array, fit_all
+from kerbside.operators.kmeans import Centres, Held, as_array, fit_all, hold, row_scores, silhouettes
 
 # Features, K range, restarts, iteration limit, tolerance, seed,
 # the small-data fallback, and the cluster labels by ascending mean price.
@@ -85,20 +84,22 @@ def weighted_points(scaled: DataFrame, features: Sequence[str] = FEATURES, col:
     the fits. Partial aggregation reduces a very common point to one row per
     task before the shuffle; partitions follow from the row count alone."""
     keys = [F.col(c).cast("double").alias(f"__k_{c}") for c in features]
-    points = (scaled.select(*keys, col).groupBy(*[f"__k_{c}" for c in features])
-              .agg(F.count(F.lit(1)).cast("double").alias("weight"), F.first(col).alias(col)))
+    names, at = [f"__k_{c}" for c in features], range(len(features))
+    # Coordinates, not vectors: these would make it an aggregation by sorting.
+    points = (scaled.select(*keys, as_array(scaled, col).alias("__x")).select(*names, *(F.col("__x")[i].alias(f"__x{i}") for i in at))
+              .groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("weight"), *(F.first(f"__x{i}").alias(f"__x{i}") for i in at)))
     if partitions is None:
         partitions = max(1, -(-scaled.count() // ROWS_PER_PARTITION))
-    names = [f"__k_{c}" for c in features]
-    return points.repartition(partitions, *names).sortWithinPartitions(*names).select(col, "weight")
+    placed = points.repartition(partitions, *names).sortWithinPartitions(*names)
+    return placed.select(array_to_vector(F.array(*(f"__x{i}" for i in at))).alias(col), "weight")
 
 
 def _best_of_restarts(points: DataFrame, ks: Sequence[int], restarts: int, seed: int, max_iter: int,
-                      col: str, parallel_fits: int = PARALLEL_FITS) -> dict[int, Centres]:
+                      col: str, parallel_fits: int = PARALLEL_FITS, held: Held | None = None) -> dict[int, Centres]:
     """For each K, the lowest-cost model of ``restarts`` seeds. All (K, seed)
     fits share the passes over the points."""
     grid = [(k, seed + i) for k in ks for i in range(restarts)]
-    models = fit_all(points, grid, max_iter, TOLERANCE, col, "__cluster", parallel_fits)
+    models = fit_all(points, grid, max_iter, TOLERANCE, col, "__cluster", parallel_fits, held)
     best: dict[int, Centres] = {}
     for (k, _), m in zip(grid, models):
         if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
@@ -132,13 +133,7 @@ def silhouette(assigned: DataFrame, col: str = "scaled", cluster_col: str = "__c
         for batch in batches:
             points, w, mine = (batch.column(i) for i in range(3))
             points, w, mine = points.flatten().to_numpy().reshape(-1, n), w.to_numpy(), mine.to_numpy()
-            far = np.maximum((points * points).sum(axis=1)[:, None] + spread - 2 * points @ mean.T, 0.0)
-            rows, size = np.arange(len(w)), weight[mine]
-            own = far[rows, mine] * size / np.maximum(size - 1, 1)
-            far[rows, mine] = np.inf
-            other = far.min(axis=1)
-            widest = np.maximum(own, other)
-            s = np.where((mine < 0) | (size <= 1) | (widest == 0), 0.0, (other - own) / np.where(widest == 0, 1.0, widest))
+            s = row_scores(points, mine, weight, mean, spread)
             yield pa.RecordBatch.from_pydict({"s": [float(w @ s)], "w": [float(w.sum())]})
 
     place = F.coalesce(F.array_position(F.array(*(F.lit(r["c"]) for r in filled)), F.col("c")), F.lit(0)) - 1
@@ -146,10 +141,6 @@ def silhouette(assigned: DataFrame, col: str = "scaled", cluster_col: str = "__c
     return parts.agg(F.sum("s") / F.sum("w")).first()[0]
 
 
-def _silhouette(model: Centres, points: DataFrame, col: str) -> float | None:
-    return silhouette(model.transform(points), col)
-
-
 def select_k(scaled: DataFrame, points: DataFrame | None = None, k_range: Sequence[int] = K_RANGE,
              restarts: int = RESTARTS, seed: int = SEED, max_iter: int = MAX_ITER, col: str = "scaled",
              parallel_fits: int = PARALLEL_FITS) -> tuple[int, list[KResult]]:
@@ -163,15 +154,9 @@ def select_k(scaled: DataFrame, points: DataFrame | None = None, k_range: Sequen
     ks = [k for k in k_range if k <= distinct and k < n]
     if n < max(k_range) or not ks:
         return fallback, []
-    best = _best_of_restarts(points, ks, restarts, seed, max_iter, col, parallel_fits)
-    # Vectors are decoded once for all scores.
-    decoded = points.select(as_array(points, col).alias(col), "weight").persist()
-    try:
-        score = inheritable_thread_target(points.sparkSession)(lambda k: _silhouette(best[k], decoded, col))
-        with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
-            scores = list(pool.map(score, ks))
-    finally:
-        decoded.unpersist()
+    with hold(points, col) as held:
+        best = _best_of_restarts(points, ks, restarts, seed, max_iter, col, parallel_fits, held)
+        scores = silhouettes(held.packed, [best[k].centres for k in ks])
     results = [KResult(k, s, best[k].summary.trainingCost, best[k]) for k, s in zip(ks, scores) if s is not None]
     if not results:
         return fallback, []
@@ -240,15 +225,19 @@ def segment_market(spark: SparkSession, silver: DataFrame, k: int | None = None,
         if k < 2:
             # K-means needs two distinct points: everything is cluster 0.
             assigned = scaled.withColumn("__cluster", F.lit(0))
+        elif won:
+            silhouette, assigned = won.silhouette, won.model.transform(scaled)
         else:
-            model = won.model if won else _best_of_restarts(points, [k], restarts, seed, max_iter, "scaled")[k]
-            silhouette = won.silhouette if won else _silhouette(model, points, "scaled")
+            with hold(points, "scaled") as held:
+                model = _best_of_restarts(points, [k], restarts, seed, max_iter, "scaled", held=held)[k]
+                silhouette = silhouettes(held.packed, [model.centres])[0]
             assigned = model.transform(scaled)
     finally:
         points.unpersist()
     out = assigned.withColumn("CLUSTER_ID", F.col("__cluster").cast("int")).drop("__cluster", "scaled")
     if name:
-        out = name_clusters(out, rank_clusters(cluster_profile(out)))
+        # One row a cluster: joined by key, all rows would first move to k partitions.
+        out = name_clusters(out, F.broadcast(rank_clusters(cluster_profile(out))))
     else:
         out = out.withColumn("CLUSTER_NAME", F.lit(FIXED_K_NAME))
     return Segmentation(out, k, silhouette, report)

@@ -337,3 +337,53 @@ def test_background_weighs_distinct_points_by_their_rows(spark):
     rows = [(f"p{i}", 0.0, int(p[0]), int(p[1]), p[2], bool(p[3])) for i, p in enumerate(points)]
     told = {r.id: r.prediction for r in pricing.predict(model, spark.createDataFrame(rows, fact.schema)).collect()}
     assert abs(base - sum(told[f"p{i}"] * w for i, w in enumerate(weights)) / sum(weights)) < 1e-6
+
+
+def test_starts_on_cells_leave_few_passes_over_the_points(spark, monkeypatch):
+    """All points weigh in the cells, and every fit ends on the points as a fit by Spark ML does."""
+    monkeypatch.setattr(kmeans, "SEPARATE_STARTS", 0)
+    points = segments.weighted_points(_cloud(spark)).persist()
+    grid = [(k, 42 + i) for k in (3, 6) for i in range(8)]
+    fit = lambda: kmeans.fit_all(points, grid, segments.MAX_ITER, segments.TOLERANCE, "scaled", "__cluster", 8)
+    before = fit()
+    monkeypatch.setattr(kmeans, "CELL_BITS", 15)
+    monkeypatch.setattr(kmeans, "FEWEST_CELLS", 100)
+    monkeypatch.setattr(kmeans, "CELL_SHARE", 0.9)
+    cells = kmeans.cells(points, "scaled", 3).collect()
+    assert 100 < len(cells) < 2500 and sum(r.weight for r in cells) == 3000
+    assert np.allclose(sum(r.weight * np.array(r.scaled) for r in cells), 0, atol=1e-6)
+    after = fit()
+    passes = lambda models: sum(m.summary.numIter for m in models)
+    assert 3 * passes(after) < 2 * passes(before) and all(m.summary.numIter for m in after)
+    x = np.array([r.scaled.toArray() for r in points.collect()])
+    for (k, _), m in zip(grid, after):
+        c = np.array(m.clusterCenters())
+        label = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        moved = np.array([x[label == j].mean(axis=0) for j in range(k)]) - c
+        assert (moved ** 2).sum(axis=1).max() < 2 * segments.TOLERANCE / k
+    for k in (3, 6):
+        best = [min(m.summary.trainingCost for (j, _), m in zip(grid, models) if j == k) for models in (after, before)]
+        assert best[0] < 1.01 * best[1]
+    monkeypatch.setattr(kmeans, "FEWEST_CELLS", 3000)  # too few cells: starts from the points
+    assert [m.summary.numIter for m in fit()] == [m.summary.numIter for m in before]
+    points.unpersist()
+
+
+def test_scores_of_all_k_share_two_passes(spark, monkeypatch):
+    scaled = _cloud(spark, 700)
+    points = segments.weighted_points(scaled.unionByName(scaled.limit(90))).persist()
+    rng = np.random.default_rng(2)
+    fits = [rng.normal(size=(k, 3)) for k in (2, 5)]
+    fits += [np.vstack([fits[1], [[99.0] * 3]]), np.array([[0.0] * 3, [99.0] * 3])]  # centres that no point is near
+    monkeypatch.setattr(kmeans, "SLICE", 100)
+    with kmeans.hold(points, "scaled") as held:
+        got = kmeans.silhouettes(held.packed, fits)
+    want = [segments.silhouette(kmeans.Centres(c, kmeans.Summary(0.0, 0), "scaled", "__cluster").transform(points)) for c in fits]
+    assert got[3] is want[3] is None and np.allclose(got[:3], want[:3], atol=1e-12, rtol=0)
+    points.unpersist()
+
+
+def test_names_move_no_rows(spark):
+    seg = segments.segment_market(spark, _blobs(spark), k=3, restarts=1, name=True)
+    plan = seg.clusters._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
