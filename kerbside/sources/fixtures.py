@@ -16,12 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _lineitem_part(spark: SparkSession, sf_dir: str, part_cols: list[str]) -> DataFrame:
+def _lineitem_part(spark: SparkSession, sf_dir: str, part_cols: list[str], hashed: bool = False) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", *part_cols)
     # Plain equi join: AQE turns it into a broadcast only when the measured
     # part side is under the threshold, otherwise it stays a shuffle join.
-    return li.join(part, li.l_partkey == part.p_partkey)
+    # ``hashed``: a task hashes its parts instead of sorting (and spilling) its lines.
+    return li.join(part.hint("shuffle_hash") if hashed else part, li.l_partkey == part.p_partkey)
 
 
 def _model_year() -> Column:
@@ -123,7 +124,7 @@ def project_merc(li: DataFrame) -> DataFrame:
 
 def listing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat inputs from which nested listing documents are assembled."""
-    j = _lineitem_part(spark, sf_dir, ["p_name", "p_brand", "p_type"])
+    j = _lineitem_part(spark, sf_dir, ["p_name", "p_brand", "p_type"], hashed=True)
     sub_title = F.concat(
         (F.lit(1) + F.col("l_linenumber") % 4).cast("string"), F.lit("."),
         (F.col("l_linenumber") % 10).cast("string"), F.lit(" "), F.col("p_name"),

@@ -114,3 +114,19 @@ def test_saved_documents_are_small_and_read_back_whole(spark, tmp_path):
     assert len([f for f in (tmp_path / "saved").iterdir() if f.name.startswith("part-")]) == 7
     key = lambda p: sorted(map(tuple, documents.extract_listings(documents.read_listing_documents(spark, p, per_line=True)).collect()), key=str)
     assert key(path) == key(plain) and len(key(path)) == 700
+
+
+def test_documents_are_built_without_sorting_the_lines(spark, tmp_path):
+    from kerbside.sources import fixtures
+
+    lines = [(i, i % 50, i % 9, i % 7 + 1, float(i % 50 + 1), 1000.0 + i, "ANR"[i % 3], "OF"[i % 2], f"199{5 + i % 4}-03-01 00:00:00") for i in range(400)]
+    lines.append((400, None, 1, 1, 1.0, 1000.0, "A", "O", "1996-03-01 00:00:00"))
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                 "l_returnflag string, l_linestatus string, l_shipdate string").withColumn(
+        "l_shipdate", F.col("l_shipdate").cast("timestamp")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    parts = [(i, f"part {i}", "Brand#1", "STEEL") for i in range(40)] + [(3, "again", "Brand#2", "TIN"), (None, "no key", "Brand#2", "TIN")]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    docs = fixtures.listing_documents(spark, str(tmp_path))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan.replace("SortAggregate", "")
+    assert docs.count() == sum(1 + (p == 3) for _, p, *_ in lines if p is not None and p < 40)
